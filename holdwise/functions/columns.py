@@ -44,6 +44,12 @@ def parse_dmy(c: Column | str) -> Column:
     return F.to_date(_col(c), "d/M/yyyy")
 
 
+def _floor_double(y: Column) -> Column:
+    """floor() of a double, as a double. Spark's floor returns a long, which would
+    saturate; a double of magnitude 2^52 or more has no fraction left to drop."""
+    return F.when(F.abs(y) < F.lit(float(2**52)), F.floor(y).cast("double")).otherwise(y)
+
+
 def round_half_away(c: Column | str, digits: int) -> Column:
     """Round a double half away from zero at ``digits`` places.
 
@@ -54,7 +60,7 @@ def round_half_away(c: Column | str, digits: int) -> Column:
     x = _col(c)
     scale = float(10**digits)
     # "+ 0.0" turns a negative zero into zero, in every engine alike.
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale) + F.lit(0.0)
+    return F.signum(x) * _floor_double(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale) + F.lit(0.0)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
