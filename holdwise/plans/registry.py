@@ -18,7 +18,13 @@ from holdwise.operators.calendar import build_dim_date
 from holdwise.operators.compounding import cdi_daily, ipca_monthly, percent_to_rate
 from holdwise.operators.holdings import HOLDING_COLUMNS, daily_holdings, fact_daily_ownership
 from holdwise.operators.ledger import LEDGER_COLUMNS, ORDERED_COLUMNS, average_cost_ledger, order_ledger
-from holdwise.operators.prices import fill_daily_close, stage_prices, tickers_of_interest, with_split_factor
+from holdwise.operators.prices import (
+    close_intervals,
+    fill_daily_close,
+    stage_prices,
+    tickers_of_interest,
+    with_split_factor,
+)
 from holdwise.operators.products import (
     build_dim_product,
     build_products,
@@ -135,7 +141,8 @@ def q_daily_holdings(spark, sf_dir):
 
 
 def q_fact_daily_ownership(spark, sf_dir):
-    return fact_daily_ownership(_ledger(spark, sf_dir), _daily_close(spark, sf_dir), _dim_date(spark, sf_dir), A.AS_OF)
+    close_iv = close_intervals(_staged_prices(spark, sf_dir), A.AS_OF)
+    return fact_daily_ownership(_ledger(spark, sf_dir), close_iv, _dim_date(spark, sf_dir), A.AS_OF)
 
 
 def q_statement_scan(spark, sf_dir):

@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="holdwise-warehouse-"))
         .config("spark.driver.memory", os.environ.get("HOLDWISE_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
