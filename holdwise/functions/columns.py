@@ -55,7 +55,8 @@ def round_half_away(c: Column | str, digits: int) -> Column:
 
     Written as sign * floor(|x| * 10^k + 0.5) / 10^k so that the same text gives
     bit-identical results in every engine (built-in double rounding differs
-    between engines on values such as 0.285).
+    between engines on values such as 0.285). Ties are judged on the binary
+    value: 0.125 rounds to 0.13, while 0.285 (stored as 0.28499...) gives 0.28.
     """
     x = _col(c)
     scale = float(10**digits)

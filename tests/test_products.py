@@ -1,0 +1,87 @@
+import datetime as dt
+from decimal import Decimal
+
+from holdwise import schemas as S
+from holdwise.operators.products import (
+    build_dim_product,
+    build_products,
+    stage_transactions,
+    synonym_rules,
+)
+from tests.fixtures import CR, DB, SETTLE, AUCTION, statements
+
+
+def test_stage_transactions_edge_cases(spark):
+    raw = statements(
+        spark,
+        [
+            ("Transferido", "5/1/2020", SETTLE, "ABCD3 - X", "10", "1.50", "15.00"),
+            (CR, "15/01/2020", AUCTION, "ABCD3 - X", "1", "20.00", "50.00"),
+            (DB, "15/01/2020", AUCTION, "ABCD3 - X", "1", "-", "50.00"),
+            (CR, "15/01/2020", SETTLE, None, "10", "-", "-"),
+        ],
+    )
+    rows = stage_transactions(raw).collect()
+    assert [r["debit_or_credit"] for r in rows] == ["Transferido", "Credit", "Debit", "Credit"]
+    assert rows[0]["transaction_date"] == dt.date(2020, 1, 5)
+    assert rows[1]["number_of_units"] == Decimal("2.5")  # 50 / 20 rounded to 2
+    assert rows[2]["number_of_units"] is None  # '-' price in an auction: null, not an error (D12)
+    assert rows[3]["product"] is None and rows[3]["price_per_unit_brl"] is None and rows[3]["total_price_brl"] is None
+
+
+def _products(spark, names_dates):
+    raw = statements(spark, [(CR, d, SETTLE, n, "1", "1.00", "1.00") for n, d in names_dates])
+    return build_products(stage_transactions(raw), synonym_rules(spark))
+
+
+def test_product_identity_and_rename_rules(spark):
+    p = _products(
+        spark,
+        [
+            ("TAEE11 - TRANSMISSORA ALIANCA", "01/01/2020"),
+            ("CDB - CDB123ABC BANK", "01/01/2020"),
+            ("CDB - CDBXYZ", "01/01/2020"),
+            ("CDB - CDBÁÇ1 BANCO", "01/01/2020"),
+            ("Tesouro Selic 2025", "01/01/2020"),
+            ("Something else", "01/01/2020"),
+            ("CARD3 - CARDIO SA", "01/01/2020"),
+            ("CSUD3 - CSU DIGITAL", "01/06/2020"),
+            (None, "02/01/2020"),
+        ],
+    )
+    rows = {r["product"]: r for r in p.collect()}
+    assert len(rows) == 9
+    assert (rows["TAEE11 - TRANSMISSORA ALIANCA"]["product_code"], rows["TAEE11 - TRANSMISSORA ALIANCA"]["product_type"]) == ("TAEE11", "Stock")
+    assert rows["TAEE11 - TRANSMISSORA ALIANCA"]["sk_product"] == "70b62b9b474e2544abebbb611212c68d"
+    assert (rows["CDB - CDB123ABC BANK"]["product_code"], rows["CDB - CDB123ABC BANK"]["product_type"]) == ("CDB123ABC", "CDB")
+    assert rows["CDB - CDBXYZ"]["product_code"] is None and rows["CDB - CDBXYZ"]["product_type"] == "CDB"
+    assert rows["CDB - CDBÁÇ1 BANCO"]["product_code"] == "CDBÁÇ1"
+    assert (rows["Tesouro Selic 2025"]["product_code"], rows["Tesouro Selic 2025"]["product_type"]) == ("Tesouro Selic 2025", "Bond")
+    assert rows["Something else"]["product_type"] == "Unknown"
+    card, csud = rows["CARD3 - CARDIO SA"], rows["CSUD3 - CSU DIGITAL"]
+    assert card["product_code"] == "CSUD3" and card["sk_product"] == csud["sk_product"]
+    # latest name: the name that appeared last
+    assert card["latest_product_name"] == csud["latest_product_name"] == "CSUD3 - CSU DIGITAL"
+    assert rows[None]["product_type"] == "Unknown" and rows[None]["product_code"] is None
+    assert rows[None]["first_appearance_date"] == dt.date(2020, 1, 2)
+
+
+def test_dim_product_groups_names_and_keeps_null(spark):
+    p = _products(
+        spark,
+        [("CARD3 - CARDIO SA", "01/01/2020"), ("CSUD3 - CSU DIGITAL", "01/06/2020"), (None, "02/01/2020")],
+    )
+    dim = {r["product_code"]: r for r in build_dim_product(p).collect()}
+    csud = dim["CSUD3"]
+    assert csud["all_product_names"] == ["CARD3 - CARDIO SA", "CSUD3 - CSU DIGITAL"]
+    assert csud["first_appearance_date"] == dt.date(2020, 1, 1)
+    assert csud["latest_product_name"] == "CSUD3 - CSU DIGITAL"
+    assert dim[None]["all_product_names"] == [None]
+
+
+def test_rules_are_a_table(spark):
+    raw = statements(spark, [(CR, "01/01/2020", SETTLE, "OLDX3 - RENAMED", "1", "1.00", "1.00")])
+    rules = synonym_rules(spark, [("(OLDX)(\\d+)", "NEWX$2")])
+    p = build_products(stage_transactions(raw), rules).first()
+    assert p["product_code"] == "NEWX3"
+    assert S.DEFAULT_SYNONYMS == [("(CARD)(\\d+)", "CSUD$2")]
