@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from holdwise import schemas as S
 
@@ -25,33 +24,33 @@ def read_statements(
     spark: SparkSession,
     paths: str | Sequence[str],
     fmt: str = "csv",
-    schema: T.StructType = S.STATEMENT_SCHEMA,
 ) -> DataFrame:
     """Stack statement files by column name; a missing column is null.
 
-    ``paths`` may hold globs. Every path group is one scan with a declared, all-text
-    schema; groups with different columns are stacked with ``unionByName``. No
-    matching file is an error, as in the original loader.
+    ``paths`` is one glob or a list of globs. Within one CSV glob the files share
+    a layout (the header names the columns; every cell stays text, nothing is
+    inferred); globs with different layouts are stacked with ``unionByName``.
+    JSON and Parquet scans merge columns by name on their own. No matching file
+    is an error, as in the original loader. The file index is not kept.
     """
     frames = []
     for p in _paths(paths):
-        reader = spark.read.format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", True).option("enforceSchema", False)
-            frames.append(reader.schema(schema).load(p))
+            frames.append(spark.read.option("header", True).option("inferSchema", False).csv(p))
         elif fmt == "json":
-            frames.append(reader.schema(schema).option("multiLine", True).load(p))
+            frames.append(spark.read.option("primitivesAsString", True).option("multiLine", True).json(p))
         else:
-            frames.append(reader.load(p))
+            frames.append(spark.read.option("mergeSchema", True).format(fmt).load(p))
     if not frames:
         raise ValueError("no statement files")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    for c in schema.fieldNames():
+    for c in S.STATEMENT_COLUMNS:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string"))
-    return out.select(*[F.col(c).cast("string").alias(c) for c in out.columns])
+    extra = [c for c in out.columns if c not in S.STATEMENT_COLUMNS]
+    return out.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in S.STATEMENT_COLUMNS + extra])
 
 
 def read_rate_series(spark: SparkSession, path: str, indicator: str | None = None) -> DataFrame:
