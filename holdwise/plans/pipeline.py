@@ -70,7 +70,7 @@ def build_all(
     }
 
 
-def test_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
+def inputs_from_test_tables(spark: SparkSession, sf_dir: str) -> RawInputs:
     """Raw inputs derived from the generic test tables (see ``adapters``)."""
     from holdwise.plans import adapters as A
 
