@@ -1,0 +1,324 @@
+"""L1 for products too large for one task: the fold split across partitions.
+
+A product's ledger is a sequential fold, so the ordinary plan (hash by product,
+fold each partition in order) gives one product to one task. Products with
+more than ``hot_rows`` ledger rows take this path instead:
+
+1. their rows are range-partitioned by (product, ledger order) and sorted, so a
+   large product spreads over many partitions, each holding a contiguous stretch
+   of its history; the result is checkpointed once and read by three passes;
+2. pass A summarizes each partition's units as a transform (``add d`` or
+   ``set v``: a grouping resets the units); the driver chains the transforms
+   over the partitions (one summary row per partition) into the units each
+   partition starts with, plus its row-number offset;
+3. pass B, given those units, summarizes each partition's cost as an affine map
+   ``c -> a * c + b`` (a sale scales the cost by ``1 - n / u``, a purchase adds
+   its total); the driver chains them into the cost each partition starts with;
+4. pass C folds every partition exactly like the ordinary path, starting from the
+   carried state, and also numbers the rows and finds each row's next date.
+
+Within a partition the arithmetic is the ordinary sequential fold. The carried
+state is composed in a different order than one sequential pass, so a split
+product can differ from the single-task result in the last bits of a double
+(and, rarely, in the third decimal after rounding); products below the threshold
+never take this path.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from holdwise import schemas as S
+from holdwise.operators.ledger import LEDGER_ORDER, _FOLD_OUT, floats, make_step
+from holdwise.session import shared_dir
+
+# Rows per range partition of the split path.
+ROWS_PER_TASK = 2_000_000
+
+_SUMMARY_A = T.StructType(
+    [
+        T.StructField("pid", T.IntegerType()),
+        T.StructField("first_sk", T.StringType()),
+        T.StructField("last_sk", T.StringType()),
+        T.StructField("first_count", T.LongType()),
+        T.StructField("last_count", T.LongType()),
+        T.StructField("cont_kind", T.StringType()),
+        T.StructField("cont_val", T.DoubleType()),
+        T.StructField("start_val", T.DoubleType()),
+        T.StructField("last_start_val", T.DoubleType()),
+        T.StructField("first_sk_date", T.DateType()),
+    ]
+)
+
+_SUMMARY_B = T.StructType(
+    [
+        T.StructField("pid", T.IntegerType()),
+        T.StructField("affine", T.BooleanType()),
+        T.StructField("a", T.DoubleType()),
+        T.StructField("b", T.DoubleType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+
+
+def _units_pass(credit_label: str, grouping_label: str):
+    def units_update(kind, val, first, n, direction, movement):
+        """Compose one row into a units transform (kind, val)."""
+        credit = direction == credit_label
+        if first:
+            return "set", (n if credit else (None if n is None else -n))
+        if movement == grouping_label:
+            return "set", n
+        d = n if credit else (None if n is None else -n)
+        if kind == "set":
+            return "set", (None if val is None or d is None else val + d)
+        return "add", (None if val is None or d is None else val + d)
+
+    def pass_a(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid = None
+        first_sk = last_sk = None
+        first_count = last_count = 0
+        cont = ("add", 0.0)
+        start = ("set", None)
+        last_start = ("set", None)
+        first_date = None
+        for pdf in batches:
+            sks = pdf["sk_product"].tolist()
+            dcs = pdf["debit_or_credit"].tolist()
+            tts = pdf["transaction_type"].tolist()
+            ns = floats(pdf["_n"])
+            pids = pdf["_pid"].tolist()
+            dates = pdf["transaction_date"].tolist()
+            for i in range(len(sks)):
+                if pid is None:
+                    pid, first_sk, first_date = pids[i], sks[i], dates[i]
+                    last_sk = sks[i]
+                    first_count = last_count = 1
+                    cont = units_update("add", 0.0, False, ns[i], dcs[i], tts[i])
+                    start = units_update("set", None, True, ns[i], dcs[i], tts[i])
+                    last_start = start
+                    continue
+                if sks[i] == last_sk:
+                    last_count += 1
+                    last_start = units_update(*last_start, False, ns[i], dcs[i], tts[i])
+                    if last_sk == first_sk:
+                        first_count += 1
+                        cont = units_update(*cont, False, ns[i], dcs[i], tts[i])
+                        start = last_start
+                else:
+                    last_sk = sks[i]
+                    last_count = 1
+                    last_start = units_update("set", None, True, ns[i], dcs[i], tts[i])
+        if pid is not None:
+            yield pd.DataFrame(
+                {
+                    "pid": [pid],
+                    "first_sk": [first_sk],
+                    "last_sk": [last_sk],
+                    "first_count": [first_count],
+                    "last_count": [last_count],
+                    "cont_kind": [cont[0]],
+                    "cont_val": pd.Series([cont[1]], dtype="float64"),
+                    "start_val": pd.Series([start[1]], dtype="float64"),
+                    "last_start_val": pd.Series([last_start[1]], dtype="float64"),
+                    "first_sk_date": [first_date],
+                }
+            )
+
+    return pass_a
+
+
+def _cost_pass(carry_units: dict, credit_label: str, grouping_label: str):
+    """Pass B: per partition, the cost at its end, as an affine map of the cost it
+    starts with (a single continued product) or as a value (a product starting
+    inside the partition)."""
+    step = make_step(credit_label, grouping_label)
+
+    def pass_b(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid = None
+        key = None
+        u = c = None
+        a, b = 1.0, 0.0
+        continued = False
+        single = True
+        for pdf in batches:
+            sks = pdf["sk_product"].tolist()
+            dcs = pdf["debit_or_credit"].tolist()
+            tts = pdf["transaction_type"].tolist()
+            ns = floats(pdf["_n"])
+            ts = floats(pdf["_t"])
+            pids = pdf["_pid"].tolist()
+            for i in range(len(sks)):
+                n, t = ns[i], ts[i]
+                if pid is None:
+                    pid = pids[i]
+                    key = sks[i]
+                    continued = pid in carry_units
+                    if continued:
+                        u = carry_units[pid][1]
+                    else:
+                        _, u, c, _ = step(True, n, t, dcs[i], tts[i], None, None)
+                        continue
+                elif sks[i] != key:
+                    key, single = sks[i], False
+                    _, u, c, _ = step(True, n, t, dcs[i], tts[i], None, None)
+                    continue
+                if continued and single:
+                    credit = dcs[i] == credit_label
+                    if tts[i] == grouping_label or credit:
+                        b = b + (0.0 if t is None else t)
+                    elif not (n is None or u is None or u == 0):
+                        f = 1.0 - n / u
+                        a, b = a * f, b * f
+                    _, u, _, _ = step(False, n, t, dcs[i], tts[i], u, 0.0)
+                else:
+                    _, u, c, _ = step(False, n, t, dcs[i], tts[i], u, c)
+        if pid is not None:
+            affine = continued and single
+            yield pd.DataFrame(
+                {
+                    "pid": [pid],
+                    "affine": [affine],
+                    "a": pd.Series([a if affine else None], dtype="float64"),
+                    "b": pd.Series([b if affine else None], dtype="float64"),
+                    "value": pd.Series([None if affine else c], dtype="float64"),
+                }
+            )
+
+    return pass_b
+
+
+def _final_pass(carry: dict, next_first: dict, credit_label: str, grouping_label: str):
+    """Pass C: the ordinary fold from the carried state, numbering rows and
+    linking each row to the next row's date (across partitions too)."""
+    step = make_step(credit_label, grouping_label)
+
+    def pass_c(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = None
+        u = c = None
+        nr = 0
+        pending = None  # the previous batch, waiting for its last row's next date
+        for pdf in batches:
+            sks = pdf["sk_product"].tolist()
+            dcs = pdf["debit_or_credit"].tolist()
+            tts = pdf["transaction_type"].tolist()
+            ns = floats(pdf["_n"])
+            ts = floats(pdf["_t"])
+            pids = pdf["_pid"].tolist()
+            dates = pdf["transaction_date"].tolist()
+            size = len(sks)
+            nrs, deltas, units, costs, prevs = [0] * size, [None] * size, [None] * size, [None] * size, [None] * size
+            for i in range(size):
+                if key is None and pids[i] in carry and carry[pids[i]][0] == sks[i]:
+                    _, nr, u, c = carry[pids[i]]
+                    key = sks[i]
+                first = sks[i] != key
+                if first:
+                    key, nr = sks[i], 0
+                delta, u, c, prev = step(first, ns[i], ts[i], dcs[i], tts[i], u, c)
+                nr += 1
+                nrs[i], deltas[i], units[i], costs[i], prevs[i] = nr, delta, u, c, prev
+            nexts = [dates[i + 1] if i + 1 < size and sks[i + 1] == sks[i] else None for i in range(size)]
+            out = pdf.assign(
+                transaction_nr_for_product=pd.Series(nrs, index=pdf.index, dtype="int32"),
+                delta_units=pd.Series(deltas, index=pdf.index, dtype="float64"),
+                _units=pd.Series(units, index=pdf.index, dtype="float64"),
+                _cost=pd.Series(costs, index=pdf.index, dtype="float64"),
+                _prev_avg=pd.Series(prevs, index=pdf.index, dtype="float64"),
+            )
+            out["next_transaction_date_for_same_product"] = nexts
+            if pending is not None:
+                if pending["sk_product"].iloc[-1] == sks[0]:
+                    pending.iloc[-1, pending.columns.get_loc("next_transaction_date_for_same_product")] = dates[0]
+                yield pending
+            pending = out
+        if pending is not None:
+            pid = pending["_pid"].iloc[-1]
+            nxt = next_first.get(pid)
+            if nxt is not None and nxt[0] == pending["sk_product"].iloc[-1]:
+                pending.iloc[-1, pending.columns.get_loc("next_transaction_date_for_same_product")] = nxt[1]
+            yield pending
+
+    return pass_c
+
+
+def _apply_units(kind, val, x):
+    if kind == "set":
+        return val
+    return None if x is None or val is None else x + val
+
+
+def split_fold(moves: DataFrame, total_rows: int, order_cols: list[str]) -> DataFrame:
+    """Fold the ledger of (large) products across many tasks; see module docstring.
+
+    ``moves`` has the columns of :func:`holdwise.operators.ledger.order_ledger`
+    except the window outputs, plus ``_dc_order`` (the staged direction, for the
+    ledger order) and ``_n``/``_t`` (units and total as doubles).
+    """
+    spark = moves.sparkSession
+    shared_dir(spark)
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(total_rows / ROWS_PER_TASK))
+    order = [F.col(c).asc_nulls_first() for c in ["sk_product", *order_cols]]
+    ranged = (
+        moves.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    credit, grouping = S.CREDIT, S.MOVE_GROUPING
+
+    # Pass A + units carries (one summary row per partition, chained in order).
+    summ = sorted(ranged.mapInPandas(_units_pass(credit, grouping), _SUMMARY_A).collect(), key=lambda r: r["pid"])
+    carry_units: dict[int, tuple[int, float | None]] = {}
+    cur_sk, cur_nr, cur_u = None, 0, None
+    for r in summ:
+        cont = r["first_sk"] == cur_sk
+        if cont:
+            carry_units[r["pid"]] = (cur_nr, cur_u)
+        if r["first_sk"] == r["last_sk"]:
+            if cont:
+                cur_nr, cur_u = cur_nr + r["first_count"], _apply_units(r["cont_kind"], r["cont_val"], cur_u)
+            else:
+                cur_nr, cur_u = r["first_count"], r["start_val"]
+        else:
+            cur_nr, cur_u = r["last_count"], r["last_start_val"]
+        cur_sk = r["last_sk"]
+
+    # Pass B + cost carries.
+    costs = {
+        r["pid"]: r
+        for r in ranged.mapInPandas(_cost_pass(carry_units, credit, grouping), _SUMMARY_B).collect()
+    }
+    carry: dict[int, tuple[str, int, float | None, float | None]] = {}
+    cur_c = None
+    for r in summ:
+        pid = r["pid"]
+        if pid in carry_units:
+            nr0, u0 = carry_units[pid]
+            carry[pid] = (r["first_sk"], nr0, u0, cur_c)
+        cb = costs[pid]
+        if cb["affine"]:
+            cur_c = None if cur_c is None else cb["a"] * cur_c + cb["b"]
+        else:
+            cur_c = cb["value"]
+    next_first = {}
+    for prev, nxt in zip(summ, summ[1:]):
+        next_first[prev["pid"]] = (nxt["first_sk"], nxt["first_sk_date"])
+
+    # Pass C: the fold itself.
+    schema = T.StructType(
+        [f for f in ranged.schema.fields]
+        + [
+            T.StructField("transaction_nr_for_product", T.IntegerType()),
+            *_FOLD_OUT,
+            T.StructField("next_transaction_date_for_same_product", T.DateType()),
+        ]
+    )
+    # carry: pid -> (product, row-number offset, units, cost) at the partition's start
+    return ranged.mapInPandas(_final_pass(carry, next_first, credit, grouping), schema)

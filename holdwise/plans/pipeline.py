@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from holdwise.operators.calendar import build_dim_date
 from holdwise.operators.compounding import cdi_daily, ipca_monthly
 from holdwise.operators.holdings import fact_daily_ownership
-from holdwise.operators.ledger import average_cost_ledger, order_ledger
+from holdwise.operators.ledger import build_ledger
 from holdwise.operators.prices import close_intervals, fill_daily_close, stage_prices, with_split_factor
 from holdwise.operators.products import build_dim_product, build_products, stage_transactions, synonym_rules
 
@@ -52,7 +52,7 @@ def build_all(
     dim_date = build_dim_date(spark, calendar_start, calendar_end, raw.holidays)
     staged_tx = stage_transactions(raw.statements)
     products = _checkpoint(build_products(staged_tx, rules), persist_dir, "products")
-    ledger = _checkpoint(average_cost_ledger(order_ledger(staged_tx, rules)), persist_dir, "ledger")
+    ledger = _checkpoint(build_ledger(staged_tx, rules), persist_dir, "ledger")
     prices = stage_prices(with_split_factor(raw.prices))
     daily_close = fill_daily_close(prices, dim_date, as_of)
     fact = fact_daily_ownership(ledger, close_intervals(prices, as_of), dim_date, as_of)

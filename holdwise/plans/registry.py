@@ -17,7 +17,7 @@ from holdwise.functions import mul, parse_dmy, round_half_away
 from holdwise.operators.calendar import build_dim_date
 from holdwise.operators.compounding import cdi_daily, ipca_monthly, percent_to_rate
 from holdwise.operators.holdings import HOLDING_COLUMNS, daily_holdings, fact_daily_ownership
-from holdwise.operators.ledger import LEDGER_COLUMNS, ORDERED_COLUMNS, average_cost_ledger, order_ledger
+from holdwise.operators.ledger import LEDGER_COLUMNS, ORDERED_COLUMNS, build_ledger, order_ledger
 from holdwise.operators.prices import (
     close_intervals,
     fill_daily_close,
@@ -56,7 +56,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return average_cost_ledger(order_ledger(_staged(spark, sf_dir), synonym_rules(spark)))
+    return build_ledger(_staged(spark, sf_dir), synonym_rules(spark))
 
 
 def _staged_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
