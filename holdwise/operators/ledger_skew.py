@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdwise import schemas as S
-from holdwise.operators.ledger import LEDGER_ORDER, _FOLD_OUT, floats, make_step
+from holdwise.operators.ledger import _FOLD_OUT, floats, make_step
 from holdwise.session import shared_dir
 
 # Rows per range partition of the split path.

@@ -167,7 +167,8 @@ def q_rate_scan(spark, sf_dir):
 
 def q_save_modes(spark, sf_dir):
     """K1, K2: create (fail mode), append, then replace; read the table back."""
-    products = _products(spark, sf_dir)
+    # checkpointed once (in the shared folder), so the three writes do not recompute it
+    products = _products(spark, sf_dir).checkpoint(eager=True)
     path = landing.scratch(spark, "products_table")
     name = f"products_{abs(hash(path)) % 10**8}"
     save_table(products, name, layer="staging", if_exists="fail", path=path)
