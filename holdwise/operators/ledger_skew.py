@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdwise import schemas as S
-from holdwise.operators.ledger import _FOLD_OUT, floats, make_step
+from holdwise.operators.ledger import _FOLD_OUT, floats, ledger_order, make_step
 from holdwise.session import shared_dir
 
 # Rows per range partition of the split path.
@@ -264,7 +264,7 @@ def split_fold(moves: DataFrame, total_rows: int, order_cols: list[str]) -> Data
     spark = moves.sparkSession
     shared_dir(spark)
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(total_rows / ROWS_PER_TASK))
-    order = [F.col(c).asc_nulls_first() for c in ["sk_product", *order_cols]]
+    order = [F.col("sk_product").asc_nulls_first(), *ledger_order(order_cols)]
     ranged = (
         moves.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)

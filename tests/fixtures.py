@@ -33,3 +33,9 @@ LEDGER_ROWS = [
     ("Outro", "02/01/2020", SETTLE, "MNOP6 - ODD DIRECTION", "5", "10.00", "50.00"),
     (CR, "02/01/2020", SETTLE, None, "5", "10.00", "50.00"),
 ]
+
+NULL_DATE_ROWS = [
+    (CR, None, SETTLE, "QRST3 - NULL DATE", "5", "1.00", "5.00"),
+    (CR, "02/01/2020", SETTLE, "QRST3 - NULL DATE", "10", "1.00", "10.00"),
+    (DB, "03/01/2020", SETTLE, "QRST3 - NULL DATE", "4", "1.00", "4.00"),
+]

@@ -7,7 +7,7 @@ from holdwise.operators import ledger_skew
 from holdwise.operators.ledger import LEDGER_COLUMNS, average_cost_ledger, build_ledger, order_ledger
 from holdwise.operators.products import stage_transactions, synonym_rules
 from holdwise.plans import adapters as A
-from tests.fixtures import LEDGER_ROWS, statements
+from tests.fixtures import LEDGER_ROWS, NULL_DATE_ROWS, statements
 
 
 def _compare(a, b, tol=1e-6):
@@ -31,7 +31,7 @@ def tiny_tasks(monkeypatch):
 
 
 def test_split_fold_on_hand_cases(spark, tiny_tasks):
-    staged = stage_transactions(statements(spark, LEDGER_ROWS))
+    staged = stage_transactions(statements(spark, LEDGER_ROWS + NULL_DATE_ROWS))
     rules = synonym_rules(spark)
     exact = average_cost_ledger(order_ledger(staged, rules))
     split = build_ledger(staged, rules, hot_rows=1)
