@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdwise import schemas as S
-from holdwise.operators.ledger import _FOLD_OUT, floats, ledger_order, make_step
+from holdwise.operators.ledger import _FOLD_OUT, ledger_order, make_floats, make_step
 from holdwise.session import shared_dir
 
 # Rows per range partition of the split path.
@@ -68,6 +68,8 @@ _SUMMARY_B = T.StructType(
 
 
 def _units_pass(credit_label: str, grouping_label: str):
+    floats = make_floats()
+
     def units_update(kind, val, first, n, direction, movement):
         """Compose one row into a units transform (kind, val)."""
         credit = direction == credit_label
@@ -139,6 +141,7 @@ def _cost_pass(carry_units: dict, credit_label: str, grouping_label: str):
     starts with (a single continued product) or as a value (a product starting
     inside the partition)."""
     step = make_step(credit_label, grouping_label)
+    floats = make_floats()
 
     def pass_b(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pid = None
@@ -198,6 +201,7 @@ def _final_pass(carry: dict, next_first: dict, credit_label: str, grouping_label
     """Pass C: the ordinary fold from the carried state, numbering rows and
     linking each row to the next row's date (across partitions too)."""
     step = make_step(credit_label, grouping_label)
+    floats = make_floats()
 
     def pass_c(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = None
