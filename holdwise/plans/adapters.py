@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdwise import schemas as S
+from holdwise.operators.prices import TICKER_AT_START
 
 # Fixed parameters of the test build.
 AS_OF = dt.date(2001, 12, 31)
@@ -39,6 +40,17 @@ def stock_code(k: Column) -> Column:
     return F.when(k % 97 == 0, F.concat(F.lit("CARD"), digit)).otherwise(F.concat(letters, digit))
 
 
+def product_name(k: Column) -> Column:
+    """The statement's product name of a part: CDB, bond, a bare name, or ticker - name."""
+    ptype = F.col("p_type")
+    return (
+        F.when(ptype == "PROMO", F.concat(F.lit("CDB - CDB"), k.cast("string"), F.lit(" BANK")))
+        .when(ptype == "LARGE", F.concat(F.lit("Tesouro "), F.col("p_name")))
+        .when(k % 89 == 0, F.col("p_name"))
+        .otherwise(F.concat(stock_code(k), F.lit(" - "), F.col("p_name")))
+    )
+
+
 def _money(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)").cast("string")
 
@@ -69,13 +81,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(line == 6, F.lit(S.MOVE_GROUPING))
         .otherwise(F.lit("Rendimento"))
     )
-    ptype = F.col("p_type")
-    product = (
-        F.when(ptype == "PROMO", F.concat(F.lit("CDB - CDB"), k.cast("string"), F.lit(" BANK")))
-        .when(ptype == "LARGE", F.concat(F.lit("Tesouro "), F.col("p_name")))
-        .when(k % 89 == 0, F.col("p_name"))
-        .otherwise(F.concat(stock_code(k), F.lit(" - "), F.col("p_name")))
-    )
+    product = product_name(k)
     no_price = (~first) & line.isin(4, 6)
     return base.select(
         F.when(first | (F.col("l_returnflag") != "R"), F.lit(S.RAW_CREDIT)).otherwise(F.lit(S.RAW_DEBIT)).alias(
@@ -92,15 +98,17 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily quotes of the stock products, keyed by ticker, before the split factor."""
+    """Daily quotes of every ticker named in the statements (before the split factor).
+
+    A part's lines are quotes of the ticker at the start of its product name;
+    parts whose names carry no ticker (CDBs, bonds, bare names) have no quotes.
+    """
     li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice", "l_tax", "l_shipdate")
-    part = load(spark, sf_dir, "part").select("p_partkey", "p_type")
-    k = F.col("l_partkey")
-    stocks = li.join(part, li.l_partkey == part.p_partkey).where(
-        (~F.col("p_type").isin("PROMO", "LARGE")) & (k % 89 != 0)
-    )
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    ticker = F.regexp_extract(product_name(F.col("l_partkey")), TICKER_AT_START, 1)
+    quotes = li.join(part, li.l_partkey == part.p_partkey).withColumn("ticker", ticker).where(F.col("ticker") != "")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    g = stocks.groupBy(stock_code(k).alias("ticker"), F.col("l_shipdate").alias("Date")).agg(
+    g = quotes.groupBy("ticker", F.col("l_shipdate").alias("Date")).agg(
         F.max(price).alias("hi"),
         F.min(price).alias("lo"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("Volume"),
