@@ -81,3 +81,28 @@ def test_twins_on_smallest_test_tables(spark):
     h1 = daily_holdings(ledger, cal, A.AS_OF)
     h2 = daily_holdings_by_last_of_day(ledger, cal, A.AS_OF)
     assert h1.exceptAll(h2).count() == 0 and h2.exceptAll(h1).count() == 0
+
+
+def test_line_without_date_holds_no_days(spark):
+    cal = build_dim_date(spark, "2020-01-01", "2020-01-31")
+    raw = statements(
+        spark,
+        [
+            (CR, "02/01/2020", SETTLE, "ABCD3 - A", "10", "1.00", "10.00"),
+            (CR, None, SETTLE, "ABCD3 - A", "5", "1.00", "5.00"),
+        ],
+    )
+    ledger = average_cost_ledger(order_ledger(stage_transactions(raw), synonym_rules(spark)))
+    days = daily_holdings(ledger, cal, AS_OF).collect()
+    assert sorted(r["sk_date"] % 100 for r in days) == list(range(2, 21))
+    assert {r["acc_units"] for r in days} == {10.0}
+    prices = spark.createDataFrame(
+        [(None, 2.0, 2.0, 2.0, 2.0, 2.0, 1, 0.0, 0.0, "ABCD3"),
+         (dt.datetime(2020, 1, 6), 3.0, 3.0, 3.0, 3.0, 3.0, 1, 0.0, 0.0, "ABCD3")], S.PRICE_SCHEMA
+    )
+    staged = stage_prices(with_split_factor(prices))
+    fast = fact_daily_ownership(ledger, close_intervals(staged, AS_OF), cal, AS_OF).collect()
+    slow = fact_daily_ownership_by_days(ledger, fill_daily_close(staged, cal, AS_OF), cal, AS_OF).collect()
+    assert sorted(fast) == sorted(slow)
+    priced = {r["sk_date"] % 100: r["market_value_per_unit_brl"] for r in fast}
+    assert priced[5] is None and priced[6] == 3.0

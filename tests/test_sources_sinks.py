@@ -86,3 +86,16 @@ def test_layer_routing():
     assert S.layer_of("b3__staging__products") == "staging"
     assert S.layer_of("something_new") == "public"
     assert S.layer_of("fact_daily_stock_ownership", " custom ") == "custom"
+
+
+def test_statement_json_files(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    row = {c: "x" for c in S.STATEMENT_COLUMNS}
+    row[S.COL_QUANTITY] = 10
+    _write(f"{d}/a.json", json.dumps([row]))
+    partial = {c: "y" for c in S.STATEMENT_COLUMNS if c != S.COL_UNIT_PRICE}
+    _write(f"{d}/b.json", json.dumps([partial]))
+    df = read_statements(spark, f"{d}/*.json", fmt="json")
+    got = {r[S.COL_DIRECTION]: r for r in df.collect()}
+    assert got["x"][S.COL_QUANTITY] == "10"  # numbers stay text
+    assert got["y"][S.COL_UNIT_PRICE] is None
