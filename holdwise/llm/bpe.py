@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 
-from holdwise.llm.common import blocks, ragged
+from holdwise.llm.common import ByteKeys, blocks, ragged
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 
@@ -214,17 +214,7 @@ class Splitter:
     def __init__(self, specials: dict[str, int]):
         self.table = class_table()
         self.specials = specials
-        rng = np.random.default_rng(17)
-        self.mult = rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-        odd = 0x9E3779B97F4A7C15
-        self.step, self.back = np.uint64(odd), np.uint64(pow(odd, -1, 2**64))
-        self.power = self.inverse = np.ones(1, np.uint64)
-
-    def powers(self, n: int) -> None:
-        if len(self.power) < n:
-            with np.errstate(over="ignore"):
-                self.power = np.cumprod(np.full(n, self.step, np.uint64)) * self.back
-                self.inverse = np.cumprod(np.full(n, self.back, np.uint64)) * self.step
+        self.keys = ByteKeys()
 
     def classes(self, codes: np.ndarray) -> np.ndarray:
         out = self.table[np.minimum(codes, 0xFFFF)]
@@ -286,18 +276,10 @@ class Splitter:
             start[s:e] = False
             start[s] = True
         first = np.flatnonzero(start)
-        bounds = np.append(at[first], len(data))
-        words = Words(self.keys(data, bounds), data, bounds[:-1], np.diff(bounds))
-        ids, distinct = words.distinct()
+        starts, ends = at[first], np.append(at[first][1:], len(data))
+        ids, distinct = Words(self.keys.keys(data, starts, ends), data, starts, ends - starts).distinct()
         return ids, np.diff(np.searchsorted(first, rows)), distinct
 
-    def keys(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """A 64-bit key of each word [bounds[i], bounds[i+1]): a polynomial of its bytes, whatever its place."""
-        self.powers(len(data) + 1)
-        with np.errstate(over="ignore"):
-            total = np.append(np.uint64(0), np.cumsum(self.mult[data] * self.power[: len(data)]))
-            return (total[bounds[1:]] - total[bounds[:-1]]) * self.inverse[bounds[:-1]]
-
 
 def cut_long(data: np.ndarray, offsets: np.ndarray, limit: int):
     """Yield (first row, last row + 1, bytes, offsets, whole) blocks; a row beyond ``limit`` is cut where a word surely ends.

@@ -65,3 +65,76 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     kind = np.int32 if total < 2**31 and (len(starts) == 0 or int(starts.max()) < 2**31 - total) else np.int64
     begin = (starts - (np.cumsum(lengths) - lengths)).astype(kind)
     return np.repeat(begin, lengths) + np.arange(total, dtype=kind)
+
+
+class ByteKeys:
+    """64-bit keys of byte slices: a polynomial of the bytes that does not depend on the place of the slice."""
+
+    STEP = 0x9E3779B97F4A7C15
+
+    def __init__(self, lower: bool = False):
+        """``lower``: A-Z count as a-z."""
+        rng = np.random.default_rng(17)
+        self.mult = rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+        if lower:
+            self.mult[ord("A") : ord("Z") + 1] = self.mult[ord("a") : ord("z") + 1]
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def keys(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        step, back = np.uint64(self.STEP), np.uint64(pow(self.STEP, -1, 2**64))
+        n = len(data) + 1
+        with np.errstate(over="ignore"):
+            if len(self.power) < n:
+                self.power = np.cumprod(np.full(n, step, np.uint64)) * back
+                self.inverse = np.cumprod(np.full(n, back, np.uint64)) * step
+            total = np.append(np.uint64(0), np.cumsum(self.mult[data] * self.power[: len(data)]))
+            return (total[ends] - total[starts]) * self.inverse[starts]
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit integers."""
+    with np.errstate(over="ignore"):
+        x = x ^ (x >> np.uint64(31))
+        x = x * np.uint64(0x7FB5D329728EA185)
+        x = x ^ (x >> np.uint64(27))
+        x = x * np.uint64(0x81DADEF4BC2DD44D)
+        return x ^ (x >> np.uint64(33))
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without ASCII white space, and the number of them per row."""
+    n = len(data)
+    solid = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
+    first = np.append(True, ~solid[:-1]) if n else np.zeros(0, bool)
+    first[offsets[:-1][offsets[:-1] < n]] = True
+    starts = np.flatnonzero(solid & first)
+    last = np.append(~solid[1:], True) if n else np.zeros(0, bool)
+    cuts = offsets[1:-1]
+    last[cuts[(cuts > 0) & (cuts <= n)] - 1] = True
+    ends = np.flatnonzero(solid & last) + 1
+    return starts, ends, np.diff(np.searchsorted(starts, offsets))
+
+
+#: Size of a membership filter: 2**24 bits, 2 MB, whatever the data.
+FILTER_BITS = 1 << 24
+
+
+def membership_bits(df: DataFrame, hashed: Column) -> bytes:
+    """A filter of fixed size that has the bit of every ``hashed`` value set (values not in ``df`` may pass too)."""
+    place = F.pmod(hashed, F.lit(FILTER_BITS)) + 1  # bitmaps count from 1
+    rows = (
+        df.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+        .groupBy("b")
+        .agg(F.bitmap_construct_agg("p").alias("bits"))
+        .collect()  # at most FILTER_BITS / 32768 rows of 4 KB
+    )
+    out = bytearray(FILTER_BITS // 8)
+    for r in rows:
+        out[(r["b"] - 1) * 4096 : r["b"] * 4096] = r["bits"]
+    return bytes(out)
+
+
+def may_contain(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Test int64 hashes against ``np.frombuffer(membership_bits, np.uint8)``."""
+    place = hashed & (FILTER_BITS - 1)
+    return (bits[place >> 3] >> (place & 7)) & 1 == 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from holdwise.llm.common import table
 from holdwise.llm.encoding import encode
+from holdwise.llm.neardup import near_duplicates
 from holdwise.llm.packing import pack
 
 VOCAB = "byte_bpe_50k.json"
@@ -26,10 +27,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode(table(spark, sf_dir, "documents"), vocab_path(), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op10_bpe": op10_bpe}
+QUERIES = {"op1_packing": op1_packing, "op5_minhash": op5_minhash, "op10_bpe": op10_bpe}
 SQL: dict[str, str] = {}
