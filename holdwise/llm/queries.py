@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from holdwise.llm.common import table
 from holdwise.llm.encoding import encode
+from holdwise.llm.exactdup import exact_duplicates
 from holdwise.llm.neardup import near_duplicates
 from holdwise.llm.packing import pack
+from holdwise.llm.sharding import shards
 
 VOCAB = "byte_bpe_50k.json"
 
@@ -27,14 +29,37 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shards(table(spark, sf_dir, "documents"), count=16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode(table(spark, sf_dir, "documents"), vocab_path(), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op5_minhash": op5_minhash, "op10_bpe": op10_bpe}
-SQL: dict[str, str] = {}
+#: Group sizes and winners by the text itself; hashing and joining are DuckDB's.
+EXACT_DEDUP_SQL = """
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(coalesce(d.text, '')) AS text_sha256
+FROM documents d
+JOIN (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1) g
+  ON g.t = coalesce(d.text, '')
+"""
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op5_minhash": op5_minhash,
+    "op6_sharding": op6_sharding,
+    "op10_bpe": op10_bpe,
+}
+SQL = {"op2_exact_dedup": EXACT_DEDUP_SQL}
