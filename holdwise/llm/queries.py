@@ -12,6 +12,7 @@ from holdwise.llm.exactdup import exact_duplicates
 from holdwise.llm.neardup import near_duplicates
 from holdwise.llm.packing import pack
 from holdwise.llm.sharding import shards
+from holdwise.llm.toxicity import toxicity
 
 VOCAB = "byte_bpe_50k.json"
 
@@ -33,6 +34,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ JOIN (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op5_minhash": op5_minhash,
     "op6_sharding": op6_sharding,
     "op10_bpe": op10_bpe,
