@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from holdwise.llm.common import ByteKeys, mix
+from holdwise.llm.common import ByteKeys, blocks, mix
 
 
 def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -28,6 +28,13 @@ class WordHash:
         self.bits, self.prefixes = bits, prefixes
         self.bytes = ByteKeys(lower=True)
 
+    def all_ids(self, data: np.ndarray, offsets: np.ndarray, limit: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of many texts, worked out in blocks of about ``limit`` bytes."""
+        parts = [self.ids(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in blocks(offsets, limit)]
+        if not parts:
+            return self.ids(data, offsets)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(words x kinds) table rows and the number of words per text row."""
         starts, ends, counts = letter_words(data, offsets)

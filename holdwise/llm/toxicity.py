@@ -191,7 +191,7 @@ def train(sample: pd.DataFrame) -> ToxicModel | None:
     if len(set(y)) < 2:
         return None
     data, offsets = text_buffer(pa.array(sample["text"], pa.large_string()))
-    ids, counts = WordHash(BITS).ids(data, offsets)
+    ids, counts = WordHash(BITS).all_ids(data, offsets)
     lang, _ = pd.factorize(sample["lang"])
     starts = np.cumsum(counts) - counts
     check = np.arange(len(y)) % 5 == 0  # rows come in the order of a hash
