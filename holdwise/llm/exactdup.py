@@ -71,9 +71,9 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows that repeat an id and a text but differ elsewhere count as copies; any one of them stays.
     """
     marked = stored(exact_duplicates(df, id_col, text_col), "exact-marked")
-    winners = marked.where("kept").select(F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
+    lost = marked.where("not kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), "keep_id")
+    again = F.col("_id").eqNullSafe(F.col("keep_id"))  # repeats of a kept row
     sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    here = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (sha == F.col("_keep_sha"))
-    out = df.join(winners, here, "left_semi")
-    ties = marked.where("not kept").where(F.col(id_col).eqNullSafe(F.col("keep_id")))
-    return out if ties.isEmpty() else out.dropDuplicates([id_col, text_col])
+    here = F.col(id_col).eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    out = df.join(lost.where(~again), here, "left_anti")
+    return out if lost.where(again).isEmpty() else out.dropDuplicates([id_col, text_col])

@@ -307,3 +307,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component = F.coalesce("component", "id")
     kept = F.coalesce(F.col("id") == component, component.isNull())
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, that ``near_duplicates`` keeps; ids tell rows apart, so a null id always stays."""
+    marked = stored(near_duplicates(df, id_col, text_col), "near-marked")
+    lost = marked.where("not kept").select(F.col(id_col).alias("_id"))
+    return df.join(lost, F.col(id_col) == F.col("_id"), "left_anti")

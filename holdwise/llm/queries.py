@@ -11,6 +11,7 @@ from holdwise.llm.encoding import encode
 from holdwise.llm.exactdup import exact_duplicates
 from holdwise.llm.neardup import near_duplicates
 from holdwise.llm.packing import pack
+from holdwise.llm.pii import joined, personal_data
 from holdwise.llm.sharding import shards
 from holdwise.llm.toxicity import toxicity
 
@@ -47,6 +48,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"size(filter(base, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode(table(spark, sf_dir, "documents"), vocab_path(), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -66,6 +73,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op5_minhash": op5_minhash,
     "op6_sharding": op6_sharding,
+    "op7_pii": op7_pii,
     "op10_bpe": op10_bpe,
 }
 SQL = {"op2_exact_dedup": EXACT_DEDUP_SQL}

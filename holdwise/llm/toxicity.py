@@ -244,7 +244,17 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     is 0. An empty table gives no rows. Other columns are not read and may have any name.
     """
     model = train(labelled_sample(df, labels, id_col, text_col, lang_col, label_col))
-    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
+    scored = _scored(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model).drop("text")
+    return scored.select(F.col("id").alias(id_col), held_out(F.col("id"), 3, 1).alias("held_out"), "score", rejected().cast("int").alias("predicted"))
+
+
+def rejected():
+    return F.col("score") >= THRESHOLD
+
+
+def _scored(rows: DataFrame, model: ToxicModel | None) -> DataFrame:
+    """(id, text, score) of every row (id, text)."""
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def task(batches):
         hashing = WordHash(BITS)
@@ -254,7 +264,14 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for i, j in blocks(offsets, BLOCK_BYTES):
                 if model:
                     score[i:j] = model.scores(*hashing.ids(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], ["id", "text", "score"])
 
-    scored = bounded_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(task, schema)
-    return scored.select(F.col("id").alias(id_col), held_out(F.col("id"), 3, 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return bounded_batches(rows).select("id", "text").mapInArrow(task, schema)
+
+
+def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> DataFrame:
+    """The rows of ``df``, all columns, that ``toxicity`` does not reject."""
+    model = train(labelled_sample(df, labels, id_col, text_col, lang_col, label_col))
+    others = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
+    clean = _scored(df.select(others.alias("id"), F.col(text_col).alias("text")), model).where(~rejected())
+    return clean.select(*[F.col("text").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in df.columns])
