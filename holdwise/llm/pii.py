@@ -209,7 +209,8 @@ def sample_rows(df: DataFrame, id_col: str, text_col: str) -> pd.DataFrame:
                     cover = max((overlap(c, b) / (b[2] - b[1]) for b in base if b[0] == c[0]), default=0)
                     if cover >= 0.6 or not any(overlap(c, b) > 0 for b in base):
                         rows.append((features(text, c), int(cover >= 0.6)))
-            yield pd.DataFrame({"features": [[float(v) for v in f] for f, _ in rows], "label": pd.array([y for _, y in rows], "Int64")})
+            if rows:
+                yield pd.DataFrame({"features": [[float(v) for v in f] for f, _ in rows], "label": pd.array([y for _, y in rows], "Int64")})
 
     return texts.mapInPandas(task, "features array<double>, label long").toPandas()
 
