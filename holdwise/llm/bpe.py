@@ -23,8 +23,8 @@ LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 #: Text bytes that are split at once, and words that are held before they are encoded.
-BLOCK_BYTES = 3_000_000
-HELD_WORDS = 6_000_000
+BLOCK_BYTES = 1_500_000
+HELD_WORDS = 4_000_000
 
 
 def char_class(code: int) -> int:

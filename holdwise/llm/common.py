@@ -87,7 +87,9 @@ class ByteKeys:
             if len(self.power) < n:
                 self.power = np.cumprod(np.full(n, step, np.uint64)) * back
                 self.inverse = np.cumprod(np.full(n, back, np.uint64)) * step
-            total = np.append(np.uint64(0), np.cumsum(self.mult[data] * self.power[: len(data)]))
+            total = np.zeros(n, np.uint64)
+            np.multiply(self.mult[data], self.power[: n - 1], out=total[1:])
+            np.cumsum(total, out=total)
             return (total[ends] - total[starts]) * self.inverse[starts]
 
 

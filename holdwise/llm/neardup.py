@@ -28,7 +28,7 @@ BANDS, ROWS = 51, 5
 SHINGLE = 5
 #: Links: PERCENT * union <= 100 * intersection.
 PERCENT = 75
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 1_500_000
 #: Shingles, and documents, of one side of a block.
 BLOCK_SHINGLES, BLOCK_DOCS = 400_000, 512
 

@@ -25,7 +25,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2000, 4000, 24_000
 EPOCHS, BATCH, RATE = 6, 64, 0.08
 #: Rejected from this score on.
 THRESHOLD = 0.7
-BLOCK_BYTES, CHUNK_WORDS = 2_000_000, 100_000
+BLOCK_BYTES, CHUNK_WORDS = 1_000_000, 50_000
 
 
 @dataclass
