@@ -23,8 +23,8 @@ LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 #: Text bytes that are split at once, and words that are held before they are encoded.
-BLOCK_BYTES = 1_500_000
-HELD_WORDS = 4_000_000
+BLOCK_BYTES = 1_000_000
+HELD_WORDS = 2_000_000
 
 
 def char_class(code: int) -> int:
@@ -116,8 +116,8 @@ class Bpe:
 
         at = np.flatnonzero(nxt[:n] < n).astype(np.int32)
         # at the start symbols are bytes: look each of their pairs up once
-        table = self.ranks(np.repeat(self.byte_id, 256), np.tile(self.byte_id, 256))
-        rank = table[raw[at].astype(np.int64) * 256 + raw[at + 1]]
+        table = self.ranks(np.repeat(self.byte_id, 256), np.tile(self.byte_id, 256)).astype(np.int32)
+        rank = table[raw[at].astype(np.int32) * 256 + raw[at + 1]]
         if len(at := at[rank >= 0]):
             add(rank[rank >= 0], at)
         while heap:
