@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from holdwise.llm.common import table
 from holdwise.llm.encoding import encode
 from holdwise.llm.exactdup import exact_duplicates
+from holdwise.llm.language import languages
 from holdwise.llm.neardup import near_duplicates
 from holdwise.llm.packing import pack
 from holdwise.llm.pii import joined, personal_data
+from holdwise.llm.quality import quality
 from holdwise.llm.sharding import shards
 from holdwise.llm.toxicity import toxicity
 
@@ -39,6 +41,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode(table(spark, sf_dir, "documents"), vocab_path(), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -71,9 +81,11 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_language": op4_language,
     "op5_minhash": op5_minhash,
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 SQL = {"op2_exact_dedup": EXACT_DEDUP_SQL}
