@@ -11,6 +11,7 @@ from holdwise.llm.encoding import encode
 from holdwise.llm.exactdup import exact_duplicates
 from holdwise.llm.language import languages
 from holdwise.llm.neardup import near_duplicates
+from holdwise.llm.neighbours import nearest
 from holdwise.llm.packing import pack
 from holdwise.llm.pii import joined, personal_data
 from holdwise.llm.quality import quality
@@ -60,6 +61,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, top=5)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op5_minhash": op5_minhash,
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
+    "op8_neighbours": op8_neighbours,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
