@@ -73,7 +73,7 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     marked = stored(exact_duplicates(df, id_col, text_col), "exact-marked")
     lost = marked.where("not kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), "keep_id")
     again = F.col("_id").eqNullSafe(F.col("keep_id"))  # repeats of a kept row
-    sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    here = F.col(id_col).eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
-    out = df.join(lost.where(~again), here, "left_anti")
+    copies = lost.where(~again)
+    sha = F.sha2(F.coalesce(df[text_col].cast("string"), F.lit("")), 256)
+    out = df.join(copies, df[id_col].eqNullSafe(copies["_id"]) & (sha == copies["_sha"]), "left_anti")
     return out if lost.where(again).isEmpty() else out.dropDuplicates([id_col, text_col])

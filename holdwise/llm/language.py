@@ -19,7 +19,7 @@ from holdwise.llm.bpe import LETTER, char_class, class_table
 from holdwise.llm.common import blocks, bounded_batches, held_out, text_buffer
 
 #: The training sample per language: about so many documents, of each so many characters, in all so many.
-SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 96, 4000, 24_000
+SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 96, 500, 32_000
 #: Letters with a symbol of their own; rarer ones share ``SHARED`` symbols. Symbol 0 is any run of other characters.
 OWN, SHARED = 52, 11
 SYMBOLS = 1 + OWN + SHARED
@@ -79,19 +79,21 @@ class CrossParser:
         for c in np.flatnonzero(is_letter).tolist():
             low = chr(c).lower()
             self.table[c] = self.own.get(ord(low[0]), 1 + OWN + ord(low[0]) % SHARED)
-        parts, roots, self.bits = [], [], []
+        parts, starts, self.bits = [], [], []
         base = 0
         for k in self.languages:
             raw = samples[k].encode()
             symbols = self.symbols(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
             step = automaton(symbols.tolist())
-            first = np.maximum(step[0], 0) + base  # a phrase that starts with this symbol
+            between = base + len(step)  # no phrase is open: at the start, and after a symbol the sample lacks
+            first = np.where(step[0] >= 0, step[0] + base, between)  # a phrase that starts with this symbol
             parts.append(np.where(step >= 0, step + base, -1 - first[None, :]))
-            roots.append(base)
+            parts.append(-1 - first[None, :])
+            starts.append(between)
             self.bits.append(np.log2(max(2, len(symbols))))
-            base += len(step)
+            base += len(step) + 1
         self.step = np.concatenate(parts).astype(np.int32).ravel()
-        self.roots = np.array(roots, np.int32)
+        self.starts = np.array(starts, np.int32)
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of all rows, the number of symbols per row, and whether a row has a letter."""
@@ -117,13 +119,13 @@ class CrossParser:
         size = np.minimum(counts[row] - nth * SEGMENT, SEGMENT)
         order = np.argsort(-size, kind="stable")
         begin, size, row = begin[order], size[order], row[order]
-        state = np.repeat(self.roots[:, None], len(row), axis=1)
-        phrases = np.ones(state.shape, np.int32)
+        state = np.repeat(self.starts[:, None], len(row), axis=1)
+        phrases = np.zeros(state.shape, np.int32)
         active = np.searchsorted(-size, -np.arange(SEGMENT), "left")  # segments longer than t
         for t in range(int(size[0]) if len(size) else 0):
             n = int(active[t])
             to = self.step[state[:, :n] * SYMBOLS + symbols[begin[:n] + t]]
-            miss = to >> 31  # -1 where no phrase goes on: the next one begins with this symbol
+            miss = to >> 31  # -1 where a new phrase begins with this symbol
             state[:, :n] = to ^ miss
             phrases[:, :n] -= miss
         total = np.stack([np.bincount(row, p, len(counts)) for p in phrases])

@@ -313,4 +313,4 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``df``, all columns, that ``near_duplicates`` keeps; ids tell rows apart, so a null id always stays."""
     marked = stored(near_duplicates(df, id_col, text_col), "near-marked")
     lost = marked.where("not kept").select(F.col(id_col).alias("_id"))
-    return df.join(lost, F.col(id_col) == F.col("_id"), "left_anti")
+    return df.join(lost, df[id_col] == lost["_id"], "left_anti")
