@@ -28,7 +28,7 @@ class RawInputs:
     cdi: DataFrame
     ipca: DataFrame
     holidays: DataFrame  # a ``date`` column
-    rules: DataFrame | None = None
+    rules: list[tuple[str, str]] | None = None
 
 
 def _checkpoint(df: DataFrame, persist_dir: str | None, name: str) -> DataFrame:
@@ -48,7 +48,7 @@ def build_all(
     persist_dir: str | None = None,
 ) -> dict[str, DataFrame]:
     """Every model of the warehouse, keyed by its table name."""
-    rules = raw.rules if raw.rules is not None else synonym_rules(spark)
+    rules = raw.rules if raw.rules is not None else synonym_rules()
     dim_date = build_dim_date(spark, calendar_start, calendar_end, raw.holidays)
     staged_tx = stage_transactions(raw.statements)
     products = _checkpoint(build_products(staged_tx, rules), persist_dir, "products")

@@ -52,11 +52,11 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_products(_staged(spark, sf_dir), synonym_rules(spark))
+    return build_products(_staged(spark, sf_dir), synonym_rules())
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_ledger(_staged(spark, sf_dir), synonym_rules(spark))
+    return build_ledger(_staged(spark, sf_dir), synonym_rules())
 
 
 def _staged_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +110,7 @@ def q_dim_product(spark, sf_dir):
 
 
 def q_ordered_ledger(spark, sf_dir):
-    return order_ledger(_staged(spark, sf_dir), synonym_rules(spark)).select(*ORDERED_COLUMNS)
+    return order_ledger(_staged(spark, sf_dir), synonym_rules()).select(*ORDERED_COLUMNS)
 
 
 def q_avg_cost_ledger(spark, sf_dir):

@@ -10,11 +10,11 @@ from holdwise.operators.holdings import (
     fact_daily_ownership,
     fact_daily_ownership_by_days,
 )
-from holdwise.operators.ledger import average_cost_ledger, order_ledger
+from holdwise.operators.ledger import build_ledger
 from holdwise.operators.prices import close_intervals, fill_daily_close, stage_prices, with_split_factor
 from holdwise.operators.products import stage_transactions, synonym_rules
 from holdwise.plans import adapters as A
-from tests.fixtures import CR, DB, SETTLE, statements
+from tests.fixtures import CR, DB, LEDGER_ROWS, SETTLE, statements
 
 AS_OF = dt.date(2020, 1, 20)
 
@@ -33,7 +33,7 @@ def world(spark):
             (CR, "03/01/2020", SETTLE, "Tesouro X", "2", "1.00", "2.00"),  # never priced
         ],
     )
-    ledger = average_cost_ledger(order_ledger(stage_transactions(raw), synonym_rules(spark)))
+    ledger = build_ledger(stage_transactions(raw), synonym_rules())
     prices = spark.createDataFrame(
         [(dt.datetime(2020, 1, 6), 2.0, 2.0, 2.0, 2.0, 2.0, 1, 0.0, 0.0, "ABCD3")], S.PRICE_SCHEMA
     )
@@ -73,7 +73,7 @@ def test_holdings_twin_on_fixture(world):
 def test_twins_on_smallest_test_tables(spark):
     sf = "/root/testdata/sf0.001"
     cal = build_dim_date(spark, A.CALENDAR_START, A.CALENDAR_END)
-    ledger = average_cost_ledger(order_ledger(stage_transactions(A.raw_transactions(spark, sf)), synonym_rules(spark)))
+    ledger = build_ledger(stage_transactions(A.raw_transactions(spark, sf)), synonym_rules())
     staged = stage_prices(with_split_factor(A.raw_prices(spark, sf)))
     fast = fact_daily_ownership(ledger, close_intervals(staged, A.AS_OF), cal, A.AS_OF)
     slow = fact_daily_ownership_by_days(ledger, fill_daily_close(staged, cal, A.AS_OF), cal, A.AS_OF)
@@ -92,7 +92,7 @@ def test_line_without_date_holds_no_days(spark):
             (CR, None, SETTLE, "ABCD3 - A", "5", "1.00", "5.00"),
         ],
     )
-    ledger = average_cost_ledger(order_ledger(stage_transactions(raw), synonym_rules(spark)))
+    ledger = build_ledger(stage_transactions(raw), synonym_rules())
     days = daily_holdings(ledger, cal, AS_OF).collect()
     assert sorted(r["sk_date"] % 100 for r in days) == list(range(2, 21))
     assert {r["acc_units"] for r in days} == {10.0}
@@ -106,3 +106,15 @@ def test_line_without_date_holds_no_days(spark):
     assert sorted(fast) == sorted(slow)
     priced = {r["sk_date"] % 100: r["market_value_per_unit_brl"] for r in fast}
     assert priced[5] is None and priced[6] == 3.0
+
+
+def test_empty_calendar_gives_typed_empty_tables(spark):
+    from holdwise.operators.holdings import FACT_COLUMNS, HOLDING_COLUMNS
+
+    ledger = build_ledger(stage_transactions(statements(spark, LEDGER_ROWS)), synonym_rules())
+    calendar = build_dim_date(spark, dt.date(2020, 1, 2), dt.date(2020, 1, 1), spark.createDataFrame([], "date date"))
+    held = daily_holdings(ledger, calendar, dt.date(2020, 2, 1))
+    assert held.columns == HOLDING_COLUMNS and held.count() == 0
+    closes = spark.createDataFrame([], "ticker string, last_market_close_date date, cover_until date, close_value_raw_brl double, is_first boolean, is_last boolean")
+    fact = fact_daily_ownership(ledger, closes, calendar, dt.date(2020, 2, 1))
+    assert fact.columns == FACT_COLUMNS and fact.count() == 0 and "void" not in dict(fact.dtypes).values()

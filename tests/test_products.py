@@ -31,7 +31,7 @@ def test_stage_transactions_edge_cases(spark):
 
 def _products(spark, names_dates):
     raw = statements(spark, [(CR, d, SETTLE, n, "1", "1.00", "1.00") for n, d in names_dates])
-    return build_products(stage_transactions(raw), synonym_rules(spark))
+    return build_products(stage_transactions(raw), synonym_rules())
 
 
 def test_product_identity_and_rename_rules(spark):
@@ -81,7 +81,21 @@ def test_dim_product_groups_names_and_keeps_null(spark):
 
 def test_rules_are_a_table(spark):
     raw = statements(spark, [(CR, "01/01/2020", SETTLE, "OLDX3 - RENAMED", "1", "1.00", "1.00")])
-    rules = synonym_rules(spark, [("(OLDX)(\\d+)", "NEWX$2")])
+    rules = synonym_rules([("(OLDX)(\\d+)", "NEWX$2")])
     p = build_products(stage_transactions(raw), rules).first()
     assert p["product_code"] == "NEWX3"
     assert S.DEFAULT_SYNONYMS == [("(CARD)(\\d+)", "CSUD$2")]
+
+
+def test_auction_units_are_rounded_once(spark):
+    from tests.fixtures import AUCTION
+
+    raw = statements(spark, [(CR, "01/01/2020", AUCTION, "ABCD3 - X", "1", "99999.99", "49499.99"), (CR, "01/01/2020", AUCTION, "ABCD3 - X", "1", "0", "1")])
+    out = stage_transactions(raw).collect()
+    assert [None if r["number_of_units"] is None else float(r["number_of_units"]) for r in out] == [0.49, None]
+
+
+def test_overlapping_rules_give_a_row_each(spark):
+    raw = statements(spark, [(CR, "01/01/2020", SETTLE, "OLDX3 - RENAMED", "1", "1.00", "1.00"), (CR, "01/01/2020", SETTLE, None, "1", "1.00", "1.00")])
+    p = build_products(stage_transactions(raw), synonym_rules([("(OLDX)(\\d+)", "NEWX$2"), ("OLD.3", "OTHR3")]))
+    assert sorted(map(str, (r["product_code"] for r in p.collect()))) == ["NEWX3", "None", "OTHR3"]
