@@ -25,9 +25,6 @@ def main(argv: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus, shuffle_partitions=max(8, 4 * cpus), app="holdwise-bench")
-    # Interval shuffles are small but feed day expansions that are ~50x larger:
-    # smaller coalesced partitions keep every core busy on the expansion.
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
     pin_time_zone(spark)
     names = argv or list(QUERIES)
 

@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdwise.functions import bounded_broadcast, mul, parse_dmy, round_half_away
+from holdwise.functions import mul, parse_dmy, round_half_away
 
 RATE_TYPE = "decimal(20,10)"
 FACTOR_DIGITS = 6
@@ -57,7 +57,7 @@ def compound_to_end(
         F.col(order).desc_nulls_first(), *[F.col(c).desc_nulls_first() for c in tie_break]
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     partial = d.withColumn("_inside", F.product("_f").over(inside))
-    carry = bounded_broadcast(carry.withColumnRenamed("_bucket", "_cb"), MAX_BUCKETS)
+    carry = carry.withColumnRenamed("_bucket", "_cb")  # a row per series and month: Spark broadcasts it by its size
     for k in keys:
         carry = carry.withColumnRenamed(k, f"_ck_{k}")
     cond = [partial["_bucket"].eqNullSafe(carry["_cb"])] + [partial[k].eqNullSafe(carry[f"_ck_{k}"]) for k in keys]

@@ -1,8 +1,9 @@
 """Build every model from landed files and save each into its layer.
 
-    python -m holdwise.plans.cli LANDING_DIR [start [end]] [--as-of yyyy-mm-dd]
+    python -m holdwise.plans.cli LANDING_DIR [start [end]] [--as-of yyyy-mm-dd] [--without-prices]
 
-Landing layout (all optional except statements):
+LANDING_DIR is a path on any file system that Spark reads. Layout (rates and holidays are optional, prices with
+--without-prices):
     statements/*.csv        statement exports (header row)
     prices/                 raw quotes, Parquet, columns as in schemas.PRICE_SCHEMA
     rates/cdi/*.json        JSON arrays of {data, valor}; also rates/ipca, rates/selic_goal
@@ -12,7 +13,6 @@ Landing layout (all optional except statements):
 from __future__ import annotations
 
 import datetime as dt
-import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from holdwise import schemas as S
 from holdwise.operators.prices import tickers_of_interest
 from holdwise.plans.pipeline import RawInputs, build_all
-from holdwise.session import pin_time_zone, shared_dir
+from holdwise.session import pin_time_zone, scratch_path
 from holdwise.sinks import save_table
-from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements
+from holdwise.sources import path_exists, read_holidays, read_prices, read_rate_series, read_statements, table
 
 # The default window of the original loaders.
 DEFAULT_START = dt.date(2018, 1, 1)
@@ -45,31 +45,44 @@ def parse_window(args: list[str], today: dt.date | None = None, calendar: bool =
     return start, end
 
 
-def _empty_rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], S.RATE_SCHEMA)
-
-
-def load_landed(spark: SparkSession, landing: str, start: dt.date, end: dt.date) -> RawInputs:
-    """S1-S4 over a landing folder; prices are limited to the window and the
-    tickers found in the statements."""
+def load_landed(spark: SparkSession, landing: str, start: dt.date, end: dt.date, without_prices: bool = False) -> RawInputs:
+    """S1-S4 over a landing folder; rates and prices are limited to the window, prices also to the
+    tickers found in the statements. An absent price folder is an error unless ``without_prices``."""
     statements = read_statements(spark, f"{landing}/statements/*.csv")
-    prices_dir = f"{landing}/prices"
-    if os.path.exists(prices_dir):
-        prices = read_prices(spark, prices_dir, tickers_of_interest(statements), start, end)
-    else:
+    if without_prices:
         prices = spark.createDataFrame([], S.PRICE_SCHEMA)
+    else:
+        prices = read_prices(spark, f"{landing}/prices", tickers_of_interest(statements), start, end)
 
     def rates(name: str) -> DataFrame:
         path = f"{landing}/rates/{name}"
-        return read_rate_series(spark, f"{path}/*.json") if os.path.exists(path) else _empty_rates(spark)
+        if not path_exists(spark, path):
+            return spark.createDataFrame([], S.RATE_SCHEMA)
+        return read_rate_series(spark, f"{path}/*.json", start=start, end=end)
+
+    if path_exists(spark, f"{landing}/holidays"):
+        holidays = read_holidays(spark, f"{landing}/holidays/*.json").select("date")
+    else:
+        holidays = spark.createDataFrame([], "date date")
+    return RawInputs(statements=statements, prices=prices, cdi=rates("cdi"), ipca=rates("ipca"), selic=rates("selic_goal"), holidays=holidays)
+
+
+def save_raw(spark: SparkSession, raw: RawInputs) -> RawInputs:
+    """Replace the raw layer's tables by the landed inputs; models then read them by name."""
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        save_table(df, name, if_exists="replace")
+        return table(spark, name)
 
-    hol_dir = f"{landing}/holidays"
-    holidays = (
-        read_holidays(spark, f"{hol_dir}/*.json").select("date")
-        if os.path.exists(hol_dir)
-        else spark.createDataFrame([], "date date")
+    return RawInputs(
+        statements=kept(raw.statements, "b3_financial_transactions"),
+        prices=kept(raw.prices, "stock_price_history"),
+        cdi=kept(raw.cdi, "central_bank_cdi_daily"),
+        ipca=kept(raw.ipca, "central_bank_ipca_monthly"),
+        selic=kept(raw.selic, "central_bank_selic_goal_daily") if raw.selic is not None else None,
+        holidays=raw.holidays,
+        rules=raw.rules,
     )
-    return RawInputs(statements=statements, prices=prices, cdi=rates("cdi"), ipca=rates("ipca"), holidays=holidays)
 
 
 def build_and_save(
@@ -79,10 +92,10 @@ def build_and_save(
     calendar_start: dt.date,
     calendar_end: dt.date,
 ) -> dict[str, str]:
-    """K2: full-refresh every model into its layer; the fact is partitioned by year."""
+    """K2: store the raw layer, then full-refresh every model into its layer; the fact is partitioned by year."""
     pin_time_zone(spark)
-    persist = f"{shared_dir(spark)}/build-{as_of.isoformat()}"
-    models = build_all(spark, raw, as_of, calendar_start, calendar_end, persist_dir=persist)
+    raw = save_raw(spark, raw)
+    models = build_all(spark, raw, as_of, calendar_start, calendar_end, persist_dir=scratch_path(spark, "build"))
     saved = {}
     for name, df in models.items():
         if name == "fact_daily_stock_ownership":
@@ -102,11 +115,13 @@ def main(argv: list[str]) -> int:
         i = argv.index("--as-of")
         as_of = dt.date.fromisoformat(argv[i + 1])
         argv = argv[:i] + argv[i + 2 :]
+    without_prices = "--without-prices" in argv
+    argv = [a for a in argv if a != "--without-prices"]
     landing, window = argv[0], argv[1:]
     start, end = parse_window(window, today=as_of)
     cal_start, cal_end = parse_window(window, today=as_of, calendar=True)
     spark = SparkSession.builder.appName("holdwise-build").getOrCreate()
-    raw = load_landed(spark, landing, start, end)
+    raw = load_landed(spark, landing, start, end, without_prices)
     for name, table in build_and_save(spark, raw, as_of, cal_start, cal_end).items():
         print(f"{name} -> {table}")
     return 0

@@ -38,8 +38,13 @@ def land_rate_series(rates: DataFrame) -> str:
     return path
 
 
-def land_statements(statements: DataFrame, files: int = 4) -> str:
-    """Statement lines as a few CSV files with a header row."""
+def land_statements(statements: DataFrame) -> str:
+    """Statement lines as CSV files with a header row, in two layouts: the second has its columns in reverse.
+
+    Returns the glob of all files. Rows go to a layout by their hash; every task writes its own files.
+    """
     path = scratch(statements.sparkSession, "statements")
-    statements.repartition(files).write.option("header", True).csv(path)
-    return path
+    second = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in statements.columns]), F.lit(2)) == 1
+    for name, rows in (("a", statements.where(~second)), ("b", statements.where(second).select(*[f"`{c}`" for c in reversed(statements.columns)]))):
+        rows.write.option("header", True).csv(f"{path}/{name}")
+    return f"{path}/*/*.csv"

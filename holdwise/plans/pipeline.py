@@ -28,6 +28,7 @@ class RawInputs:
     cdi: DataFrame
     ipca: DataFrame
     holidays: DataFrame  # a ``date`` column
+    selic: DataFrame | None = None  # stored in the raw layer, in no model
     rules: list[tuple[str, str]] | None = None
 
 
@@ -50,10 +51,10 @@ def build_all(
     """Every model of the warehouse, keyed by its table name."""
     rules = raw.rules if raw.rules is not None else synonym_rules()
     dim_date = build_dim_date(spark, calendar_start, calendar_end, raw.holidays)
-    staged_tx = stage_transactions(raw.statements)
+    staged_tx = _checkpoint(stage_transactions(raw.statements), persist_dir, "statements")
     products = _checkpoint(build_products(staged_tx, rules), persist_dir, "products")
     ledger = _checkpoint(build_ledger(staged_tx, rules), persist_dir, "ledger")
-    prices = stage_prices(with_split_factor(raw.prices))
+    prices = _checkpoint(stage_prices(with_split_factor(raw.prices)), persist_dir, "prices")
     daily_close = fill_daily_close(prices, dim_date, as_of)
     fact = fact_daily_ownership(ledger, close_intervals(prices, as_of), dim_date, as_of)
     return {

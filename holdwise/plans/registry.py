@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdwise import schemas as S
 from holdwise.functions import mul, parse_dmy, round_half_away
 from holdwise.operators.calendar import build_dim_date
 from holdwise.operators.compounding import cdi_daily, ipca_monthly, percent_to_rate
@@ -34,7 +35,7 @@ from holdwise.operators.products import (
 from holdwise.plans import adapters as A
 from holdwise.plans import landing
 from holdwise.sinks import save_table
-from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements
+from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
 
 PRICE_WINDOW = (dt.date(1997, 1, 1), dt.date(2000, 1, 1))
 
@@ -147,7 +148,7 @@ def q_fact_daily_ownership(spark, sf_dir):
 
 def q_statement_scan(spark, sf_dir):
     path = landing.land_statements(A.raw_transactions(spark, sf_dir))
-    return read_statements(spark, f"{path}/*.csv")
+    return read_statements(spark, path)
 
 
 def q_rate_scan(spark, sf_dir):
@@ -165,16 +166,38 @@ def q_rate_scan(spark, sf_dir):
     return out
 
 
+RATE_WINDOW = (dt.date(1995, 1, 1), dt.date(1996, 6, 30))
+
+
+def q_rate_window(spark, sf_dir):
+    """S2 + S7: the monthly series limited to a window while it is read, then compounded."""
+    path = landing.land_rate_series(A.raw_monthly_rates(spark, sf_dir))
+    return ipca_monthly(read_rate_series(spark, f"{path}/*/part-*", None, *RATE_WINDOW))
+
+
+def q_raw_layer(spark, sf_dir):
+    """Statements stored in their model's layer, read by name, and queried as SQL."""
+    model = "b3_financial_transactions"
+    name = save_table(A.raw_transactions(spark, sf_dir), model, if_exists="replace", path=landing.scratch(spark, "raw_layer"))
+    rows = table(spark, model).groupBy(F.col(S.COL_MOVEMENT).alias("movement")).agg(F.count(F.lit(1)).alias("n_rows"))
+    names = run_sql(spark, f"SELECT `{S.COL_MOVEMENT}` AS movement, count(DISTINCT `{S.COL_PRODUCT}`) AS n_products FROM {name} GROUP BY 1")
+    return rows.join(names, "movement").withColumn("layer", F.lit(name.split(".")[0]))
+
+
 def q_save_modes(spark, sf_dir):
-    """K1, K2: create (fail mode), append, then replace; read the table back."""
+    """K1, K2: the table's rows and distinct products after it is created, appended to and replaced."""
     # checkpointed once (in the shared folder), so the three writes do not recompute it
     products = _products(spark, sf_dir).checkpoint(eager=True)
     path = landing.scratch(spark, "products_table")
     name = f"products_{abs(hash(path)) % 10**8}"
-    save_table(products, name, layer="staging", if_exists="fail", path=path)
-    save_table(products, name, layer="staging", if_exists="append", path=path)
-    save_table(products, name, layer="staging", if_exists="replace", path=path)
-    return spark.table(f"staging.{name}")
+    out = None
+    for step, mode in enumerate(("fail", "append", "replace")):
+        save_table(products, name, layer="staging", if_exists=mode, path=path)
+        counts = spark.table(f"staging.{name}").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("product").alias("n_products"))
+        counts = counts.select(F.lit(step).alias("step"), F.lit(mode).alias("mode"), "n_rows", "n_products").checkpoint(eager=True)
+        out = counts if out is None else out.union(counts)
+    spark.sql(f"DROP TABLE staging.{name}")
+    return out
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -197,5 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily_ownership": q_fact_daily_ownership,
     "statement_scan": q_statement_scan,
     "rate_scan": q_rate_scan,
+    "rate_window": q_rate_window,
+    "raw_layer": q_raw_layer,
     "save_modes": q_save_modes,
 }

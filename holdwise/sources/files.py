@@ -7,19 +7,43 @@ over a glob, split across executors; nothing passes through the driver.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdwise import schemas as S
+from holdwise.functions import parse_dmy
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path (not a glob) exists on the file system that its scheme names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def csv_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of every distinct header line among CSV files.
+
+    The first line of each file comes from one distributed read of the files' first blocks (a partial aggregate
+    per file); only headers and file names reach the driver, which lists the files anyway.
+    """
+    lines = spark.read.text(_paths(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0").withColumn("nth", F.monotonically_increasing_id())
+    first = lines.groupBy("file_path").agg(F.min_by("value", "nth").alias("header"))
+    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect()
+    # file_path is a URI: unescape what the scan would escape again
+    return sorted((next(csv.reader([r["header"].lstrip("\ufeff")])), [unquote(f) for f in r["files"]]) for r in rows if r["header"])
+
+
 def read_statements(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -27,20 +51,19 @@ def read_statements(
 ) -> DataFrame:
     """Stack statement files by column name; a missing column is null.
 
-    ``paths`` is one glob or a list of globs. Within one CSV glob the files share
-    a layout (the header names the columns; every cell stays text, nothing is
-    inferred); globs with different layouts are stacked with ``unionByName``.
-    JSON and Parquet scans merge columns by name on their own. No matching file
-    is an error, as in the original loader. The file index is not kept.
+    ``paths`` is one glob or a list of globs. CSV files may differ in the columns they have and in their order, also
+    within one glob: files are grouped by their header line, each group is read with its own columns, and the groups
+    are stacked by name. JSON and Parquet scans merge columns by name on their own. Every cell stays text. No
+    matching file is an error, as in the original loader. The file index is not kept.
     """
-    frames = []
-    for p in _paths(paths):
-        if fmt == "csv":
-            frames.append(spark.read.option("header", True).option("inferSchema", False).csv(p))
-        elif fmt == "json":
-            frames.append(spark.read.option("primitivesAsString", True).option("multiLine", True).json(p))
-        else:
-            frames.append(spark.read.option("mergeSchema", True).format(fmt).load(p))
+    if fmt == "csv":
+        frames = []
+        for names, files in csv_layouts(spark, paths):
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+            frames.append(spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files))
+    else:
+        option = {"primitivesAsString": True, "multiLine": True} if fmt == "json" else {"mergeSchema": True}
+        frames = [spark.read.options(**option).format(fmt).load(p) for p in _paths(paths)]
     if not frames:
         raise ValueError("no statement files")
     out = frames[0]
@@ -53,13 +76,24 @@ def read_statements(
     return out.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in S.STATEMENT_COLUMNS + extra])
 
 
-def read_rate_series(spark: SparkSession, path: str, indicator: str | None = None) -> DataFrame:
-    """A JSON array of {data, valor} text points (one file or a glob).
+def read_rate_series(
+    spark: SparkSession,
+    path: str,
+    indicator: str | None = None,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> DataFrame:
+    """S2 + S7: a JSON array of {data, valor} text points (one file or a glob), those from ``start`` to ``end`` (inclusive).
 
     With ``indicator`` the rows are stamped with it, so several series can share
     one table partitioned by indicator.
     """
     df = spark.read.schema(S.RATE_SCHEMA).option("multiLine", True).json(path)
+    day = parse_dmy("data")
+    if start is not None:
+        df = df.where(day >= F.lit(start))
+    if end is not None:
+        df = df.where(day <= F.lit(end))
     return df if indicator is None else df.withColumn("indicator", F.lit(indicator))
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from holdwise.schemas import STATEMENT_SCHEMA
+from holdwise.schemas import STATEMENT_COLUMNS
 from holdwise.session import shared_dir
+from holdwise.sources import read_statements
 
 
 def land_statements_incrementally(
@@ -18,21 +22,21 @@ def land_statements_incrementally(
 ) -> StreamingQuery:
     """Append every not-yet-seen statement CSV under ``landing_glob`` to a Parquet table.
 
-    Files must have the standard columns in header order. ``checkpoint`` defaults
-    to a folder named after the table below ``spark.checkpoint.dir``, so the same
-    call resumes where the previous one stopped, also after a lost executor.
+    Files are stacked by column name, whatever their layouts. Each micro-batch replaces its own folder
+    (``batch=N``) below ``table_path``, so a batch that is run again adds nothing twice. ``checkpoint`` defaults to a
+    folder below ``spark.checkpoint.dir`` that the whole table path names.
     """
     if checkpoint is None:
-        checkpoint = f"{shared_dir(spark)}/streams/{table_path.rstrip('/').rsplit('/', 1)[-1]}"
-    stream = spark.readStream.schema(STATEMENT_SCHEMA).option("header", True).csv(landing_glob)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", table_path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+        checkpoint = f"{shared_dir(spark)}/streams/{hashlib.sha256(table_path.rstrip('/').encode()).hexdigest()[:24]}"
+
+    def land(files: DataFrame, batch: int) -> None:
+        paths = [unquote(r["file_path"]) for r in files.select("file_path").distinct().collect()]  # file names only
+        if paths:
+            rows = read_statements(spark, paths).select(*[f"`{c}`" for c in STATEMENT_COLUMNS])
+            rows.write.mode("overwrite").parquet(f"{table_path}/batch={batch}")
+
+    stream = spark.readStream.format("text").load(landing_glob).select("_metadata.file_path")
+    query = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
         query.awaitTermination()
     return query

@@ -52,4 +52,23 @@ def test_cli_build_from_landed_files(spark):
     fact = spark.table("dw.fact_daily_stock_ownership")
     assert "year" in fact.columns and fact.count() > 0
     assert spark.table("staging.central_bank__staging__cdi_daily").count() > 0
+    assert spark.table("raw.b3_financial_transactions").count() == raw.statements.count()
+    assert {t.name for t in spark.catalog.listTables("raw")} >= {n for n, layer in S.MODEL_LAYER.items() if layer == "raw"}
     assert spark.table("staging.central_bank__staging__ipca_monthly").count() == 0
+
+
+def test_landed_inputs_are_the_same_by_path_and_uri(spark):
+    base = tempfile.mkdtemp(prefix="run-")
+    A.raw_transactions(spark, SF).coalesce(1).write.option("header", True).csv(f"{base}/statements")
+    A.raw_prices(spark, SF).coalesce(1).write.parquet(f"{base}/prices")
+    os.makedirs(f"{base}/rates/ipca")
+    with open(f"{base}/rates/ipca/all.json", "w") as fh:
+        json.dump([r.asDict() for r in A.raw_monthly_rates(spark, SF).collect()], fh)
+    window = (dt.date(1995, 1, 1), dt.date(1997, 1, 1))
+    plain, uri = (load_landed(spark, at, *window) for at in (base, f"file://{base}"))
+    for a, b in ((plain.statements, uri.statements), (plain.prices, uri.prices), (plain.ipca, uri.ipca)):
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0
+    assert plain.ipca.count() < A.raw_monthly_rates(spark, SF).count()  # the window holds for rates too
+    assert plain.cdi.count() == uri.selic.count() == 0
+    assert load_landed(spark, base, *window, without_prices=True).prices.count() == 0

@@ -99,3 +99,23 @@ def test_statement_json_files(spark):
     got = {r[S.COL_DIRECTION]: r for r in df.collect()}
     assert got["x"][S.COL_QUANTITY] == "10"  # numbers stay text
     assert got["y"][S.COL_UNIT_PRICE] is None
+
+
+def test_statement_files_of_one_glob_are_stacked_by_name(spark):
+    import os
+    import tempfile
+
+    base = tempfile.mkdtemp(prefix="run-")
+    a = dict(zip(S.STATEMENT_COLUMNS, ["Credito", "01/01/2020", "Rendimento", "ABCD3 - X", "Broker, Inc", "1", "2.00", "2.00"]))
+    layouts = {
+        "2019 a.csv": S.STATEMENT_COLUMNS,
+        "2020.csv": [S.COL_INSTITUTION, *[c for c in S.STATEMENT_COLUMNS if c not in (S.COL_INSTITUTION, S.COL_UNIT_PRICE)], "Extra"],
+    }
+    for name, columns in layouts.items():
+        with open(os.path.join(base, name), "w", encoding="utf-8") as fh:
+            for row in (columns, [a.get(c, "more") for c in columns]):
+                fh.write(",".join(f'"{v}"' for v in row) + "\n")
+    out = sorted(read_statements(spark, f"{base}/*.csv").collect(), key=lambda r: r["Extra"] or "")
+    assert [r[c] for c in S.STATEMENT_COLUMNS for r in out[:1]] == list(a.values())
+    assert out[1][S.COL_INSTITUTION] == "Broker, Inc" and out[1][S.COL_DIRECTION] == "Credito"
+    assert out[1][S.COL_UNIT_PRICE] is None and out[1]["Extra"] == "more"

@@ -28,4 +28,4 @@ def test_incremental_landing_appends_each_file_once(spark):
     land_statements_incrementally(spark, land, table, checkpoint=ckpt)
     df = spark.read.parquet(table)
     assert sorted(r[S.COL_QUANTITY] for r in df.collect()) == ["1", "2", "3"]
-    assert df.columns == S.STATEMENT_COLUMNS
+    assert df.columns == [*S.STATEMENT_COLUMNS, "batch"]
