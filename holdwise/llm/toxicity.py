@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from holdwise.llm.common import blocks, bounded_batches, held_out, text_buffer
 from holdwise.llm.features import WordHash, segments
 
-BITS, DIM, FILTERS, WIDTHS = 15, 12, 8, (1, 2, 3)
+BITS, DIM, FILTERS, WIDTHS = 16, 12, 8, (1, 2, 3)
 #: The training sample: at most so many rows of each label, and only texts of at most so many bytes.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2000, 4000, 24_000
 EPOCHS, BATCH, RATE = 6, 64, 0.08
@@ -152,6 +152,9 @@ class Trainer:
         starts = np.cumsum(counts) - counts
         usable = np.flatnonzero(counts)
         self.start(ids, counts, y)
+        unseen = np.ones(1 << BITS, bool)
+        unseen[ids] = False
+        self.p["E"][unseen] = 0  # words that were never seen say nothing
         for epoch in range(EPOCHS):
             order = self.rng.permutation(usable)
             for k in range(0, len(order), BATCH):
@@ -176,13 +179,14 @@ def language_table(ids: np.ndarray, counts: np.ndarray, lang: np.ndarray) -> np.
 
 
 def best_cut(logit: np.ndarray, y: np.ndarray) -> float:
-    """The logit that separates the labels with the best F1; in the middle if several do."""
+    """The logit that separates the labels with the best F1; within the gap, nearer to the side with more rows."""
     order = np.argsort(-logit)
     hits = np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
     k = int(np.argmax(f1))
     value = logit[order]
-    return float((value[k] + value[min(k + 1, len(value) - 1)]) / 2)
+    share = (k + 1) / len(value)  # rows above: the fewer, the less their lowest one tells
+    return float(share * value[k] + (1 - share) * value[min(k + 1, len(value) - 1)])
 
 
 def train(sample: pd.DataFrame) -> ToxicModel | None:
