@@ -75,6 +75,7 @@ CREDIT, DEBIT = "Credit", "Debit"
 # K3: the layer (catalog database) of every model. A model's layer replaces the
 # default database instead of being appended to it.
 DEFAULT_LAYER = "public"
+# The table names of the models.
 MODEL_LAYER = {
     "b3_financial_transactions": "raw",
     "central_bank_cdi_daily": "raw",
