@@ -5,7 +5,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from holdwise.plans.registry import QUERIES
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -17,10 +18,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, con, name, SF)
     assert res["ok"], res
