@@ -33,3 +33,13 @@ def test_stages_decide_as_their_operators_say(spark):
     docs, pieces = seen["packing"]
     total = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
     assert {r.doc_id for r in total} == {r.doc_id for r in docs.collect()} and all(r.n == r.m for r in total)
+
+
+def test_queries_equal_their_sql(spark):
+    from holdwise.llm.queries import SQL
+    from tests.compare import compare, duck
+
+    con = duck(SF)
+    for name in SQL:
+        res = compare(spark, con, name, SF)
+        assert res["ok"], res
