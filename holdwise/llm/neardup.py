@@ -17,7 +17,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,9 +111,9 @@ def list_rows(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, node, bands) per row: set size, key of the set and band keys (node and bands null for empty sets)."""
+    """(id, text_hash, n, node, bands) per row: set size, key of the set and band keys (node null, no bands for empty sets)."""
     schema = T.StructType([
-        T.StructField("id", df.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("id", df.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
     ])
 
     def task(batches):
@@ -126,9 +126,10 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 keys = hashing.band_keys(full) if full else np.zeros((0, BANDS), np.int64)
                 counts = np.array([BANDS if len(s) else 0 for s in sets])
                 nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array([len(s) for s in sets], pa.int64()), nodes, list_rows(keys.ravel(), counts)], schema.fieldNames())
+                n = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(2)[i:j], n, nodes, list_rows(keys.ravel(), counts)], schema.fieldNames())
 
-    return bounded_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(task, schema)
+    return bounded_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(task, schema)
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, bits: bytes) -> DataFrame:
@@ -237,11 +238,15 @@ def rest_links(members: DataFrame, centers: DataFrame, labels: DataFrame, sets:
     at = members.join(label, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp")).join(home, "key")
     open_keys = at.where("comp != home").select("key").distinct()
     rows = at.join(open_keys, "key", "left_semi").select("home", "node", "n", "comp").distinct()
-    rows = rows.withColumn("outer", F.col("comp") != F.col("home"))
+    rows = stored(rows.withColumn("outer", F.col("comp") != F.col("home")), "near-rest")
     weight = F.greatest("n", F.lit(BLOCK_SHINGLES // BLOCK_DOCS))
-    running = F.sum(weight).over(Window.partitionBy("home", "outer").orderBy("node")) - weight
-    rows = stored(rows.withColumn("chunk", F.floor(running / BLOCK_SHINGLES)), "near-rest")
-    count = rows.groupBy("home").agg(F.max(F.when(F.col("outer"), F.col("chunk"))).alias("o"), F.max(F.when(~F.col("outer"), F.col("chunk"))).alias("m"))
+
+    def last(side: Column) -> Column:
+        """Number of a side's last chunk (null: no rows); a hash deals its rows to the chunks, so no task orders them all."""
+        return (F.ceil(F.sum(F.when(side, weight)) / BLOCK_SHINGLES) - 1).cast("long")
+
+    count = rows.groupBy("home").agg(last(F.col("outer")).alias("o"), last(~F.col("outer")).alias("m"))
+    chunk = F.pmod(F.xxhash64("node"), F.when(F.col("outer"), F.col("o")).otherwise(F.col("m")) + 1)
 
     def pairs(side: str, kind: str, i: str, j: str) -> Column:
         """Blocks (kind, i, j) that a row of this chunk enters, one for each chunk ``c`` of the other side."""
@@ -249,7 +254,7 @@ def rest_links(members: DataFrame, centers: DataFrame, labels: DataFrame, sets:
 
     own = pairs("o", "outer", "least(c, chunk)", "greatest(c, chunk)")
     cells = F.when(F.col("outer"), F.array_union(own, pairs("m", "inner", "chunk", "c"))).otherwise(pairs("o", "inner", "c", "chunk"))
-    placed = rows.join(count, "home").withColumn("cell", F.explode(cells)).select("home", "node", "comp", "outer", "chunk", "cell.kind", "cell.i", "cell.j")
+    placed = rows.join(count, "home").withColumn("chunk", chunk).withColumn("cell", F.explode(cells)).select("home", "node", "comp", "outer", "chunk", "cell.kind", "cell.i", "cell.j")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes = [np.asarray(x) for x in pdf["hashes"]]
@@ -268,7 +273,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Link texts whose sets of word 5-shingles have a Jaccard similarity of 0.75 or more.
 
     Returns a row per input row: ``id_col``, ``n_shingles``, ``component_id`` (the smallest id that links reach, the
-    row's own included) and ``kept`` (id = component_id). Words are runs without ASCII white space, A-Z in lower
+    row's own included), ``kept`` (id = component_id), ``component_key`` (null: no words) and ``text_hash``. Words are runs without ASCII white space, A-Z in lower
     case. A text of 1 to 4 words has one shingle; null texts and texts without words have none, are linked with
     nothing and kept. Equal sets are one node, so copies cost no pairs. Repeated rows give repeated rows. Null ids
     never become a component_id; a row with a null id is kept only if its component has no other id. An empty
@@ -301,16 +306,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         labels = components(links.union(more), "components-again")
 
     low = classes.select("node", "id").join(labels, "node")
-    low = low.join(low.groupBy("label").agg(F.min("id").alias("low")), "label").select("node", "low")
-    named = classes.select("node", "id").join(low, "node", "left").select("node", F.coalesce("low", "id").alias("component"))
-    out = docs.select("id", "n", "node").join(named, "node", "left")
+    low = low.join(low.groupBy("label").agg(F.min("id").alias("low")), "label").select("node", "low", "label")
+    named = classes.select("node", "id").join(low, "node", "left").select("node", F.coalesce("low", "id").alias("component"), F.coalesce("label", "node").alias("component_key"))
+    out = docs.select("id", "text_hash", "n", "node").join(named, "node", "left")
     component = F.coalesce("component", "id")
     kept = F.coalesce(F.col("id") == component, component.isNull())
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), "component_key", "text_hash")
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, that ``near_duplicates`` keeps; ids tell rows apart, so a null id always stays."""
-    marked = stored(near_duplicates(df, id_col, text_col), "near-marked")
-    lost = marked.where("not kept").select(F.col(id_col).alias("_id"))
-    return df.join(lost, df[id_col] == lost["_id"], "left_anti")
+    """One row, all columns, of each component of ``near_duplicates``; rows without words all stay.
+
+    Id and text tell rows apart. Where an id is given to several texts of a component, or no text of it has one, one
+    of them stays, and of rows that repeat both one.
+    """
+    marked = stored(near_duplicates(df, id_col, text_col), "near-marked").withColumnRenamed(id_col, "_id")
+    lost = marked.where("not kept").select("_id", "text_hash")
+    stays = marked.where("kept and component_key is not null")
+    firsts = stays.groupBy("component_key").agg(F.count(F.lit(1)).alias("rows"), F.min("text_hash").alias("first"))
+    firsts = stored(firsts.where("rows > 1").select("component_key", "first"), "near-repeats")
+    repeats = not firsts.isEmpty()
+    if repeats:
+        lost = lost.union(stays.join(firsts, "component_key").where("text_hash <> first").select("_id", "text_hash"))
+    out = df.join(lost, df[id_col].eqNullSafe(lost["_id"]) & (F.xxhash64(df[text_col]) == lost["text_hash"]), "left_anti")
+    if not repeats:
+        return out
+    wordy = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return out.where(wordy).dropDuplicates([id_col, text_col]).union(out.where(~wordy))

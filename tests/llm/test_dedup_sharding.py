@@ -85,6 +85,17 @@ def test_near_duplicates_equal_brute_force(docs_of, odd_rows):
     assert near_duplicates(docs_of([])).count() == 0
 
 
+def test_one_row_of_each_component_stays_though_ids_repeat(docs_of):
+    a, b = prose(40, 1), prose(40, 2)
+    rows = [(5, a), (5, a + " end"), (5, b), (5, b), (7, b + " end"), (None, prose(40, 3)), (None, prose(40, 3) + " x"), (9, ""), (9, ""), (None, None), (None, a + " x")]
+    kept = [(r.doc_id, r.text) for r in drop_near_duplicates(docs_of(rows)).collect()]
+    assert len(kept) == 6 and sorted(kept, key=str).count((9, "")) == 2 and (None, None) in kept
+    assert [sum((t or "").startswith(p) for _, t in kept) for p in (a, b, prose(40, 3))] == [1, 1, 1]
+    assert {i for i, t in kept if t and t.startswith((a, b))} == {5}
+    plain = [(k, prose(40, k)) for k in range(4)] + [(9, ""), (9, "")]
+    assert drop_near_duplicates(docs_of(plain)).count() == 6
+
+
 def test_signature_agreement_estimates_similarity():
     rng = np.random.default_rng(2)
     hashing = OnePermutation()
