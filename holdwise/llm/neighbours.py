@@ -147,23 +147,24 @@ def cosine(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return (rows * x).sum(axis=1) / (np.sqrt((x * x).sum()) * np.sqrt((rows * rows).sum(axis=1)))
 
 
-def search(queries: DataFrame, classes: DataFrame, most: int, n_rows: int, n_queries: int) -> DataFrame:
+def search(queries: DataFrame, classes: DataFrame, most: int, n_rows: int) -> DataFrame:
     """(query, node, score): the best classes that the probed buckets hold."""
     index = hashed(classes, probing=False)
     size = index.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     size = stored(size.select("key", F.ceil(F.col("size") / CELL).alias("parts")), "ann-buckets")
     cells = max(1, -(-n_rows * TABLES // CELL))
-    blocks = max(1, -(-n_queries // CELL))
 
     def cell(part):  # a bucket of more than CELL vectors has several parts
         return F.pmod(F.xxhash64("key", part), F.lit(cells))
 
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
-    dealt = index.join(size, "key").withColumn("cell", cell(part)).join(classes.select("node", "vector"), "node")
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("cell", "block", "node", "vector", "key")
     visits = hashed(queries, probing=True).join(size, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    visits = visits.groupBy(cell(F.col("part")).alias("cell"), "node").agg(F.collect_set("key").alias("keys"))
-    visits = visits.join(queries.select("node", "vector"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int"))
+    visits = stored(visits.groupBy(cell(F.col("part")).alias("cell"), "node").agg(F.collect_set("key").alias("keys")), "ann-visits")
+    # a cell meets the queries that visit it, in blocks of about CELL
+    blocks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
+    dealt = index.join(size, "key").withColumn("cell", cell(part)).join(blocks, "cell").join(classes.select("node", "vector"), "node")
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cell", "block", "node", "vector", "key")
+    visits = visits.join(blocks, "cell").join(queries.select("node", "vector"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     kind = dict(classes.dtypes)["node"]
     pair = visits.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block"))
     found = pair.applyInPandas(lambda q, r: best_in_cell(q, r, most, True), f"query {kind}, node {kind}, score double")
@@ -209,8 +210,7 @@ def nearest(df: DataFrame, query_filter, top: int = 5, id_col: str = "vec_id", v
     asked = vectors.where(query_filter).select(F.col("id").alias("query_id"), "vector")
     asked = stored(asked.join(classes.select("node", "vector"), "vector").select("query_id", "node"), "ann-asked")
     queries = classes.join(asked.select("node").distinct(), "node", "left_semi").select("node", "vector")
-    n_queries = queries.count()
-    found = stored(search(queries, classes, top + 1, n_rows, n_queries), "ann-found")
+    found = stored(search(queries, classes, top + 1, n_rows), "ann-found")
     members = classes.select("node", F.size("ids").alias("n"))
     enough = found.join(members, "node").groupBy("query").agg(F.sum("n").alias("n")).where(F.col("n") > top)
     short = stored(queries.join(enough, queries["node"] == enough["query"], "left_anti"), "ann-short")
