@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from holdwise.session import scratch_path
 
-#: Rows per Arrow batch; with texts of a few KB a batch stays at a few MB.
-BATCH_ROWS = 1000
+#: Rows and bytes per Arrow batch, whichever is reached first.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """Limit what a Python worker holds at once: ``BATCH_ROWS`` rows per Arrow batch."""
+    """Limit what a Python worker holds at once: ``BATCH_ROWS`` rows and about ``BATCH_BYTES`` per Arrow batch."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
