@@ -11,7 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,11 +144,13 @@ class CrossParser:
 def samples(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, str]:
     """At most ``SAMPLE_CHARS`` characters of text per language, from rows that are not held out, by a hash of the id."""
     known = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    known = known.where("lang is not null and text is not null").where(~held_out(F.col("id"), 5, 0))
+    known = known.where("id is not null and lang is not null and text is not null").where(~held_out(F.col("id"), 5, 0))
     count = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.join(F.broadcast(count), "lang").withColumn("place", place).where(F.col("place") * F.col("n") < SAMPLE_DOCS)  # a row per language
-    rows = chosen.select("lang", "place", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text")).collect()  # about SAMPLE_DOCS a language
+    chosen = chosen.select("lang", "place", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))  # ids that repeat share a place: the bound holds for them too
+    rows = chosen.withColumn("nth", nth).where(F.col("nth") <= 4 * SAMPLE_DOCS).collect()
     out: dict[str, str] = {}
     seen = set()
     for r in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):

@@ -198,7 +198,7 @@ def sample_rows(df: DataFrame, id_col: str, text_col: str) -> pd.DataFrame:
     """Features and weak labels of the candidates of at most ``SAMPLE_DOCS`` documents, chosen by a hash of the id."""
     picked = df.select(F.col(id_col).alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    texts = texts.join(F.broadcast(picked.distinct()), "id").select("text")  # bounded by SAMPLE_DOCS
+    texts = texts.join(F.broadcast(picked.distinct()), "id").dropDuplicates(["id"]).select("text")  # bounded by SAMPLE_DOCS
 
     def task(parts):
         for part in parts:

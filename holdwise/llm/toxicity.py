@@ -228,6 +228,7 @@ def train(sample: pd.DataFrame) -> ToxicModel | None:
 def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str) -> pd.DataFrame:
     """At most ``SAMPLE_TOXIC`` + ``SAMPLE_CLEAN`` rows (text, lang, label), chosen by a hash of the id."""
     known = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(F.col(id_col), 3, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic"))
+    known = known.where("id is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))  # a label per id, however often it is given
     picked = None
     for value, limit in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
         one = known.where(F.col("toxic") == value).orderBy(F.xxhash64("id"), "id").limit(limit)
