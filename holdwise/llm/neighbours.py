@@ -121,16 +121,17 @@ def best_in_cell(queries: pd.DataFrame, rows: pd.DataFrame, most: int, by_key: b
     out = {"query": [], "node": [], "score": []}
     dim = queries["vector"].map(len).to_numpy(), rows["vector"].map(len).to_numpy()
     for d in np.intersect1d(*dim).tolist():
-        q, r = queries[dim[0] == d], rows[dim[1] == d]
-        x, y = np.stack(q["vector"].to_numpy()), np.stack(r["vector"].to_numpy())
+        q, r = queries[dim[0] == d], rows[dim[1] == d].sort_values("node", kind="stable")
+        # a row lies in a bucket of every table, and several of them may be in this cell: it counts once
+        node, first = np.unique(r["node"].to_numpy(), return_index=True)
+        x, y = np.stack(q["vector"].to_numpy()), np.stack(r["vector"].to_numpy()[first])
         close = unit(x) @ unit(y).T
         if by_key:
             code, keys = pd.factorize(r["key"])
             visits = np.zeros((len(q), len(keys)), bool)
             for i, k in enumerate(q["keys"]):
                 visits[i, np.flatnonzero(np.isin(keys, np.asarray(k)))] = True
-            close[~visits[:, code]] = -2
-        node = r["node"].to_numpy()
+            close[~np.logical_or.reduceat(visits[:, code], first, axis=1)] = -2
         for i, (name, line) in enumerate(zip(q["node"].to_numpy(), close, strict=True)):
             few = min(most, len(line))
             floor = max(-1.5, np.partition(line, len(line) - few)[len(line) - few] - 1e-9)

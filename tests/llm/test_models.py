@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdwise.llm.language import CrossParser, automaton, languages
-from holdwise.llm.neighbours import nearest
+from holdwise.llm.neighbours import TABLES, PStable, nearest, unit
 from holdwise.llm.pii import base_spans, personal_data, redact_personal_data, redacted
 from holdwise.llm.quality import quality
 from holdwise.llm.toxicity import drop_toxic, toxicity
@@ -197,3 +197,20 @@ def test_neighbours(spark):
     pair = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in nearest(pair, F.col("id") % 2 == 0).collect()] == [(0, 1, 1, 0.0)]
     assert nearest(pair.limit(0), F.col("id") % 2 == 0).count() == 0
+
+
+def test_neighbours_are_the_best_of_all_probed_buckets(spark):
+    x = np.random.default_rng(2).normal(size=(900, 32))
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(table, F.col("id") % 20 == 0, top=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    u = unit(x)
+    for q in range(0, 900, 20):
+        seen = np.zeros(900, bool)
+        for t in range(TABLES):
+            h = PStable(32, t)
+            seen |= np.isin(h.keys(np.floor(h.places(u))), h.probes(h.places(u[q : q + 1])[0]))
+        seen[q] = False
+        close = np.where(seen, u @ u[q], -2)
+        assert seen.sum() < 5 or got[q] == np.argsort(-close, kind="stable")[:5].tolist()
