@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from holdwise.llm.common import bounded_batches, stored
 
-TABLES, HASHES, WIDTH, PROBES = 4, 8, 2.0, 400
+TABLES, HASHES, WIDTH, PROBES = 5, 8, 2.0, 500
 #: Vectors, and queries, that meet in one cell.
 CELL = 4096
 
