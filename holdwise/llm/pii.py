@@ -4,8 +4,10 @@ Base spans are what the kinds' exact patterns and checks find; they always count
 further spans, which may overlap; boosted trees judge each by its format and context, and calibrated thresholds per
 kind select those that are redacted besides the base spans.
 
-The trees need no labelled table: a proposed span counts as personal data where it covers most of a base span of
-its kind (generators also propose parts of such spans), and as harmless where it touches none.
+The trees need no labelled table. Every base span counts as personal data, shown without the mark of its format (no
+'+', spelled signs, other separators). A proposed span counts as harmless only where it fails its kind's check or stands
+in a clearly other context (version, date, part of a longer run). All other proposals are unlabelled: the trees judge
+them. They are fitted on a bounded sample; the thresholds come from counts over all documents.
 """
 
 from __future__ import annotations
@@ -34,13 +36,23 @@ DIGITS = re.compile(r"[0-9]+")
 
 #: The training sample: documents, and bytes of the largest text that is used for training.
 SAMPLE_DOCS, SAMPLE_BYTES = 4000, 24_000
-#: Precision that a threshold must reach on the sample's calibration part.
-PRECISION = 0.98
+#: Precision that a threshold must reach on the labelled spans of all documents, and the bins of their probabilities.
+PRECISION, BINS = 0.98, 1000
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-#: Generators: number-like clusters, and mail addresses that spell out their signs.
+#: Generators: number-like clusters, addresses that spell out or bracket their signs.
 CLUSTER = re.compile(r"[+(]?[0-9][0-9\x20()./-]{5,}[0-9]")
-SPELLED = re.compile(r"[A-Za-z0-9._%+-]{2,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]+)+")
+SPELLED_MARK = re.compile(rb"(?i)at[)\]}]|[\x20]dot[\x20]|[(\[{]dot|[(\[]\.[)\]]|[0-9] \. ?[0-9]")
+SPELLED = re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64} ?[(\[{]at[)\]}] ?[a-z0-9-]+(?: ?(?:[(\[{]dot[)\]}]|\.) ?[a-z0-9-]+)+|(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64} at [a-z0-9-]+(?: dot [a-z0-9-]+)+")
+SPELLED_IP = re.compile(r"(?i)(?<![0-9])[0-9]{1,3}(?:(?: ?(?:[(\[{](?:dot|\.)[)\]}]|\.) ?| dot )[0-9]{1,3}){3}(?![0-9])")
+SPELLED_AT = re.compile(r"(?i) ?[(\[{]at[)\]}] ?| at ")
+SPELLED_DOT = re.compile(r"(?i) ?[(\[{](?:dot|\.)[)\]}] ?| (?:dot|\.) ")
+EMAIL_WHOLE = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+\Z")
+#: Contexts and formats of numbers that are nobody's: a word before, dates, ISBNs, plain numbers.
+OTHER_WORD = re.compile(r"(?i)(?<![a-z])(?:versions?|ver|v|releases?|build|revision|rev|licen[cs]e|isbn(?:-1[03])?|issn|doi|serial|invoice|order|sku|token|commit)(?:\x20(?:number|nr|no|id))?[\x20.:=#]*\Z")
+DATE = re.compile(r"(?<![0-9])(?:(?:19|20)[0-9]{2}[-./\x20][0-9]{1,2}[-./\x20][0-9]{1,2}|[0-9]{1,2}[-./\x20][0-9]{1,2}[-./\x20](?:19|20)[0-9]{2})(?![0-9])")
+PLAIN_NUMBER = re.compile(r"[0-9]+(?:\.[0-9]+)?\Z|[0-9]{1,3}(?:[\x20.][0-9]{3}){2,}\Z|[0-9]+(?:\.[0-9]+){3}\Z")
+CALL_WORD = re.compile(r"(?i)(?<![a-z])(?:tel|telephone|telefon|phone|call|fax|mobile?|sms|cell)(?:\x20(?:number|nr|no))?[\x20.:=#]*\Z")
 CONTEXT = re.compile(r"(?i)(tel|phone|call|fax|mobil|sms)|(mail|contact|write)|(card|visa|credit|iban|account|pay)|(ip|host|server|address|addr)|(version|license|isbn|issn|doi|nr|id)")
 HEXLIKE = frozenset("0123456789abcdefABCDEF")
 
@@ -112,17 +124,101 @@ def candidates(text: str) -> list[Span]:
     if "@" in text:
         for s, e in emails(text):
             out.add((0, s, e))
-    if "at)" in text or "at]" in text:
+    low = text.lower()
+    if "at)" in low or "at]" in low or "at}" in low or (" at " in low and " dot " in low):
         out.update((0, m.start(), m.end()) for m in SPELLED.finditer(text))
+    if any(mark in low for mark in ("[.]", "(.)", " . ", "dot")):
+        out.update((1, m.start(), m.end()) for m in SPELLED_IP.finditer(text))
     return sorted(out)
 
 
+def passes(span: Span, text: str) -> bool:
+    """The check of the span's kind, whatever marks and separators it is written with."""
+    kind, s, e = span
+    part = text[s:e]
+    if kind == 0:
+        return EMAIL_WHOLE.match(SPELLED_DOT.sub(".", SPELLED_AT.sub("@", part))) is not None
+    if kind == 1:
+        parts = SPELLED_DOT.sub(".", part).split(".")
+        return len(parts) == 4 and all(x.isdigit() and small(x) for x in parts)
+    digits = "".join(DIGITS.findall(part))
+    return 12 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
+
+
+def elsewhere(span: Span, text: str) -> bool:
+    """The span clearly is something else: part of a longer run, after a word like version, a date or a plain number."""
+    kind, s, e = span
+    part, before, after = text[s:e], text[max(0, s - 24) : s], text[e : e + 2]
+    if kind == 0:
+        return False
+    if before[-1:].isalnum() or after[:1].isalnum() or OTHER_WORD.search(before):
+        return True
+    if (before[-1:] in (".", "-", "/", ",") and before[-2:-1].isdigit()) or (after[:1] in (".", "-", "/", ",") and after[1:].isdigit()):
+        return True
+    if kind != 3:
+        return False
+    digits = "".join(DIGITS.findall(part))
+    if DATE.search(part) or (len(digits) == 13 and digits[:3] in ("978", "979")):
+        return True
+    return PLAIN_NUMBER.match(part) is not None and not CALL_WORD.search(before)
+
+
+def harmless(span: Span, text: str) -> bool:
+    return not passes(span, text) or elsewhere(span, text)
+
+
+def hidden(text: str, span: Span) -> list[tuple[str, Span]]:
+    """A base span in its context, written without the marks that made it a base span, in several ways."""
+    kind, s, e = span
+    part, before, after = text[s:e], text[max(0, s - 26) : s], text[e : e + 3]
+    groups = DIGITS.findall(part)
+    if kind == 0:
+        local, host = part.split("@", 1)
+        ways = [f"{local} (at) {host}", f"{local}[at]{host}", f"{local} at {host.replace('.', ' dot ')}"]
+        ways += [f"{local}{a}{host.replace('.', d)}" for a, d in (("(at)", "(dot)"), (" (at) ", " (dot) "), (" [at] ", " [dot] "), ("[at]", "[dot]"))]
+    elif kind == 1:
+        ways = [part, *[d.join(groups) for d in ("[.]", "(.)", " . ", "[dot]", " dot ")]]
+    elif kind == 2:
+        digits = "".join(groups)
+        fours = [digits[k : k + 4] for k in range(0, len(digits), 4)]
+        ways = [part, digits, *[d.join(fours) for d in (".", "/", "  ", " - ")]]
+    else:
+        ways = [part[1:], *[d.join(groups) for d in "- ."]]
+        if len(groups) > 2 and sum(map(len, groups[1:])) >= 9:
+            ways += [part[part.index(groups[0]) + len(groups[0]) :].lstrip(" .-)"), *[d.join(groups[1:]) for d in "- ."]]
+        if CALL_WORD.search(before):
+            ways.append("".join(groups))
+    bare = before[-1:]  # the words before are hidden too, so that a span elsewhere needs none
+    return [(b + w + after, (kind, len(b), len(b) + len(w))) for w in dict.fromkeys(ways) for b in dict.fromkeys((before, bare))]
+
+
+def examples(text: str) -> list[tuple[list[float], int, float]]:
+    """Features, label and weight of the labelled spans of a text; the ways to write one base span share its weight."""
+    base, out = base_spans(text), []
+    for b in base:
+        ways = hidden(text, b)
+        out += [(features(t, c), 1, 1 / len(ways)) for t, c in ways]
+    return out + [(features(text, c), 0, 1.0) for c in open_candidates(text, base) if harmless(c, text)]
+
+
+def open_candidates(text: str, base: list[Span]) -> list[Span]:
+    """The proposed spans that touch no base span."""
+    start, end = np.array([b[1] for b in base], np.int64), np.array([b[2] for b in base], np.int64)
+    end = np.maximum.accumulate(end) if len(end) else end
+    out = []
+    for c in candidates(text):
+        k = int(np.searchsorted(start, c[2])) - 1  # the last base span that starts before the end of c
+        if k < 0 or end[k] <= c[1]:
+            out.append(c)
+    return out
+
+
 def char_kind(c: str) -> int:
     return 0 if not c else 1 if c.isspace() else 2 if c.isalpha() else 3 if c.isdigit() else 4
 
 
 def features(text: str, span: Span) -> list[float]:
-    """Format of the span (not the checks that make a base span) and what stands around it."""
+    """Format of the span, whether it passes its kind's check, and what stands around it."""
     kind, s, e = span
     part = text[s:e]
     groups = DIGITS.findall(part)
@@ -132,7 +228,7 @@ def features(text: str, span: Span) -> list[float]:
     hint = word.lastindex if word else 0
     near = text[max(0, s - 1) : s] + after[:1]
     return [
-        kind, e - s, sum(sizes), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], part.count(" "), part.count("-"), part.count("."), part.count("("), part.count("/"),
+        kind, passes(span, text), e - s, sum(sizes), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], part.count(" "), part.count("-"), part.count("."), part.count("("), part.count("/"),
         part[0] == "+", part[0] == "(", "@" in part, float(part[:1] in "3456"), float(groups[0][0]) if groups else -1, char_kind(text[s - 1 : s] if s else ""), char_kind(after[:1]),
         char_kind(after[1:2]), sum(c in HEXLIKE for c in near), hint, sum(map(str.isalpha, part)), len(set(part)),
     ]
@@ -156,32 +252,46 @@ def train(rows: pd.DataFrame) -> PiiModel | None:
     else:
         trees = fit_trees(x[~check], y[~check])
     trees.platt = fit_logistic(trees.raw(x[check]), y[check])
-    p, truth, kind = trees.probability(x[check]), y[check], x[check][:, 0].astype(int)
-    threshold = np.full(len(KINDS), 2.0)
-    for k in range(len(KINDS)):
-        mine = np.flatnonzero(kind == k)
-        order = mine[np.argsort(-p[mine], kind="stable")]
-        good = np.cumsum(truth[order]) / np.arange(1, len(order) + 1) >= PRECISION
-        if good.any():
-            threshold[k] = max(0.5, p[order[np.flatnonzero(good)[-1]]])
-    return PiiModel(trees, threshold)
+    return PiiModel(trees, np.full(len(KINDS), 2.0))
+
 
+def calibrated(model: PiiModel | None, texts: DataFrame) -> PiiModel | None:
+    """Set each kind's threshold by the labelled spans of all documents (one ``text`` column), counted on executors."""
+    if model is None:
+        return None
+    size = len(KINDS) * BINS
 
-def overlap(a: Span, b: Span) -> int:
-    return min(a[2], b[2]) - max(a[1], b[1])
+    def task(batches):
+        total = np.zeros(2 * size)
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(0))
+            for k in marked(data, offsets):
+                found = examples(data[offsets[k] : offsets[k + 1]].tobytes().decode())
+                if found:
+                    x = np.array([f for f, _, _ in found], np.float64)
+                    place = np.minimum((model.trees.probability(x) * BINS).astype(np.int64), BINS - 1) + BINS * x[:, 0].astype(np.int64)
+                    total += np.bincount(place + size * np.array([y for _, y, _ in found]), [w for _, _, w in found], 2 * size)
+        here = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(total[here])], ["place", "weight"])
+
+    counts = np.zeros(2 * size)
+    rows = bounded_batches(texts).select("text").mapInArrow(task, "place long, weight double")
+    for r in rows.groupBy("place").agg(F.sum("weight").alias("weight")).collect():  # at most 2 * kinds * BINS rows
+        counts[r["place"]] = r["weight"]
+    bad, good = counts.reshape(2, len(KINDS), BINS)
+    for k in range(len(KINDS)):
+        hits, errors = np.cumsum(good[k][::-1])[::-1], np.cumsum(bad[k][::-1])[::-1]  # from each bin on
+        fine = np.flatnonzero((hits > 0) & (hits >= PRECISION * (hits + errors) - 1e-9))
+        if len(fine):
+            model.threshold[k] = max(0.5, fine[0] / BINS)
+    return model
 
 
 def chosen_spans(text: str, base: list[Span], model: PiiModel | None) -> list[Span]:
     """The base spans and the proposed ones that the model selects: best first, none that touches a chosen one."""
     if model is None:
         return base
-    start, end = np.array([b[1] for b in base], np.int64), np.array([b[2] for b in base], np.int64)
-    end = np.maximum.accumulate(end) if len(end) else end
-    open_ = []
-    for c in candidates(text):
-        k = int(np.searchsorted(start, c[2])) - 1  # the last base span that starts before the end of c
-        if k < 0 or end[k] <= c[1]:
-            open_.append(c)
+    open_ = [c for c in open_candidates(text, base) if not harmless(c, text)]
     if not open_:
         return base
     p = model.trees.probability(np.array([features(text, c) for c in open_], np.float64))
@@ -195,26 +305,34 @@ def chosen_spans(text: str, base: list[Span], model: PiiModel | None) -> list[Sp
 
 
 def sample_rows(df: DataFrame, id_col: str, text_col: str) -> pd.DataFrame:
-    """Features and weak labels of the candidates of at most ``SAMPLE_DOCS`` documents, chosen by a hash of the id."""
+    """Features and weak labels of the labelled spans of at most ``SAMPLE_DOCS`` documents, chosen by a hash of the id."""
     picked = df.select(F.col(id_col).alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
     texts = texts.join(F.broadcast(picked.distinct()), "id").dropDuplicates(["id"]).select("text")  # bounded by SAMPLE_DOCS
 
     def task(parts):
         for part in parts:
-            rows = []
-            for text in part["text"]:
-                base = base_spans(text)
-                for c in candidates(text):
-                    cover = max((overlap(c, b) / (b[2] - b[1]) for b in base if b[0] == c[0]), default=0)
-                    if cover >= 0.6 or not any(overlap(c, b) > 0 for b in base):
-                        rows.append((features(text, c), int(cover >= 0.6)))
+            rows = [(f, y) for text in part["text"] for f, y, _ in examples(text)]
             if rows:
                 yield pd.DataFrame({"features": [[float(v) for v in f] for f, _ in rows], "label": pd.array([y for _, y in rows], "Int64")})
 
     return texts.mapInPandas(task, "features array<double>, label long").toPandas()
 
 
+def learned(df: DataFrame, id_col: str, text_col: str) -> PiiModel | None:
+    return calibrated(train(sample_rows(df, id_col, text_col)), df.select(F.col(text_col).alias("text")))
+
+
+def marked(data: np.ndarray, offsets: np.ndarray) -> list[int]:
+    """The texts that may hold a span: it has a digit, an @ or a spelled sign; most texts have none."""
+    mark = (data == 0x40) | ((data >= 0x30) & (data <= 0x39))
+    total = np.append(0, np.cumsum(mark))
+    hit = total[offsets[1:]] > total[offsets[:-1]]
+    spelled = np.array([m.start() for m in SPELLED_MARK.finditer(data.tobytes())], np.int64)
+    hit[np.searchsorted(offsets, spelled, "right") - 1] = True
+    return np.flatnonzero(hit).tolist()
+
+
 def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of personal data in every whole text: ``id_col``, ``base`` and ``spans`` (arrays of kind, start, end).
 
@@ -222,7 +340,7 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and the added ones, which touch no other. Null and empty texts have none. Null ids are kept, repeated rows are
     searched each, an empty table gives no rows. Other columns are not read and may have any name.
     """
-    return _scan(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), train(sample_rows(df, id_col, text_col))).withColumnRenamed("id", id_col)
+    return _scan(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), learned(df, id_col, text_col)).withColumnRenamed("id", id_col)
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -239,13 +357,9 @@ def _scan(rows: DataFrame, model: PiiModel | None, redact: bool = False) -> Data
     def task(batches):
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            mark = (data == 0x40) | ((data >= 0x30) & (data <= 0x39))  # a span has a digit or an @; most texts have neither
-            total = np.append(0, np.cumsum(mark))
-            hit = total[offsets[1:]] > total[offsets[:-1]]
-            spelled = b"at)" in data.tobytes() or b"at]" in data.tobytes()
             base, spans = [[]] * batch.num_rows, [[]] * batch.num_rows
             texts = batch.column(1).to_pylist() if redact else None
-            for k in np.flatnonzero(hit | spelled).tolist():
+            for k in marked(data, offsets):
                 text = data[offsets[k] : offsets[k + 1]].tobytes().decode()
                 exact = base_spans(text)
                 chosen = chosen_spans(text, exact, model)
@@ -274,7 +388,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with the spans of ``personal_data`` replaced in ``text_col``; other columns and null texts stay as they are."""
-    model = train(sample_rows(df, id_col, text_col))
+    model = learned(df, id_col, text_col)
     others = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
     out = _scan(df.select(others.alias("id"), F.col(text_col).alias("text")), model, redact=True)
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in df.columns])
