@@ -2,7 +2,8 @@
 
 A word's embedding is the sum of the table rows of the word and of its prefixes. Filters of several widths run over
 the embeddings, each filter's largest value in the text is kept, and a linear layer scores them. The score is scaled
-so that 0.7 is the threshold of the text's language, which is guessed from the text itself.
+so that 0.7 is the threshold of the text's language, which is guessed from the text itself. Only the filters learn from a
+bounded sample; the thresholds come from counts over all labelled rows that are not held out.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdwise.llm.common import blocks, bounded_batches, held_out, text_buffer
+from holdwise.llm.common import blocks, bounded_batches, held_out, may_contain, membership_bits, text_buffer
 from holdwise.llm.features import WordHash, segments
 
 BITS, DIM, FILTERS, WIDTHS = 16, 12, 8, (1, 2, 3)
-#: The training sample: at most so many rows of each label, and only texts of at most so many bytes.
+#: The training sample of the filters: at most so many rows of each label, and only texts of at most so many bytes.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2000, 4000, 24_000
 EPOCHS, BATCH, RATE = 6, 64, 0.08
 #: Rejected from this score on.
 THRESHOLD = 0.7
+#: Logits are counted in so many bins per unit, up to this size.
+LOGIT_BINS, LOGIT_LIMIT = 64, 60
 BLOCK_BYTES, CHUNK_WORDS = 1_000_000, 50_000
 
 
@@ -178,57 +181,100 @@ def language_table(ids: np.ndarray, counts: np.ndarray, lang: np.ndarray) -> np.
     return np.log((table + 0.1) / (table.sum(axis=0) + 0.1 * len(table))).astype(np.float32)
 
 
-def best_cut(logit: np.ndarray, y: np.ndarray) -> float:
-    """The logit that separates the labels with the best F1; near the middle of the gap if several do."""
-    order = np.argsort(-logit)
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+def best_cut(value: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The logit that separates the counted labels with the best F1; near the middle of the gap if several do."""
+    used = np.flatnonzero(clean + toxic)[::-1]
+    value, clean, toxic = value[used], clean[used], toxic[used]
+    hits = np.cumsum(toxic)
+    f1 = 2 * hits / (np.cumsum(clean + toxic) + toxic.sum())
     k = int(np.argmax(f1))
-    value = logit[order]
     return float(0.45 * value[k] + 0.55 * value[min(k + 1, len(value) - 1)])
 
 
 def train(sample: pd.DataFrame) -> ToxicModel | None:
-    """Fit on rows of (text, lang, toxic); None unless both labels occur."""
+    """Fit the filters on rows of (text, lang, toxic); None unless both labels occur. The cuts are set by ``set_cuts``."""
     y = sample["toxic"].to_numpy().astype(np.float64)
     if len(set(y)) < 2:
         return None
     data, offsets = text_buffer(pa.array(sample["text"], pa.large_string()))
     ids, counts = WordHash(BITS).all_ids(data, offsets)
     lang, _ = pd.factorize(sample["lang"])
-    starts = np.cumsum(counts) - counts
-    check = np.arange(len(y)) % 5 == 0  # rows come in the order of a hash
-
-    def part(mask):
-        rows = np.concatenate([np.arange(starts[d], starts[d] + counts[d]) for d in np.flatnonzero(mask)] or [np.zeros(0, np.int64)])
-        return ids[rows], counts[mask]
-
-    if len(set(y[check])) < 2 or len(set(y[~check])) < 2:  # too few rows to set some apart
-        fit_on = check = np.ones(len(y), bool)
-    else:
-        fit_on = ~check
     trainer = Trainer()
-    trainer.fit(*part(fit_on), y[fit_on])
+    trainer.fit(ids, counts, y)
     model = trainer.model()
     model.language = language_table(ids, counts, lang)
-    logit, spoken = model.logits(*part(check))
-    logit, truth = logit.astype(np.float64), y[check]
-    whole = best_cut(logit, truth)
-    model.cut = np.full(model.language.shape[1], whole)
+    model.cut = np.zeros(model.language.shape[1])
+    return model
+
+
+def set_cuts(model: ToxicModel, counts: pd.DataFrame) -> None:
+    """Choose the cuts from counts per (language, bin, toxic, fitted); ``n`` is the number of rows.
+
+    Rows that were not fitted tell the logits; the fitted ones, of which each class has another share, only count in the
+    weights of the classes, so that these keep the ratio of all rows. Fitted rows tell the logits if no others do.
+    """
+    first = -LOGIT_LIMIT * LOGIT_BINS
+    table = np.zeros((2, 2, model.language.shape[1], 2 * LOGIT_LIMIT * LOGIT_BINS + 1))  # fitted, toxic, language, bin
+    np.add.at(table, tuple(counts[c].to_numpy(np.int64) - (first if c == "bin" else 0) for c in ("fitted", "toxic", "language", "bin")), counts["n"].to_numpy(np.float64))
+    value = (np.arange(table.shape[-1]) + first + 0.5) / LOGIT_BINS
+    free = table[0] if table[0].sum(axis=(1, 2)).all() else table.sum(axis=0)
+    weight = table.sum(axis=(0, 2, 3)) / np.maximum(free.sum(axis=(1, 2)), 1)
+    clean, toxic = free[0] * weight[0], free[1] * weight[1]
+    whole = best_cut(value, clean.sum(axis=0), toxic.sum(axis=0))
+    model.cut = np.full(len(model.cut), whole)
     for k in range(len(model.cut)):
-        mine = spoken == k
-        few = min(truth[mine].sum(), (1 - truth[mine]).sum())
+        few = min(free[0, k].sum(), free[1, k].sum())
         if few:  # the fewer rows tell, the closer to the cut of all languages
-            model.cut[k] = (few * best_cut(logit[mine], truth[mine]) + 10 * whole) / (few + 10)
-    spread = abs(logit[truth == 1].mean() - logit[truth == 0].mean())
+            model.cut[k] = (few * best_cut(value, clean[k], toxic[k]) + 10 * whole) / (few + 10)
+    spread = abs((toxic.sum(axis=0) @ value) / toxic.sum() - (clean.sum(axis=0) @ value) / clean.sum())
     model.slope = float(np.clip(8 / max(spread, 1e-3), 0.2, 5))
+
+
+def known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, toxic) of the labels that are not held out: a label per id, however often it is given."""
+    known = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(F.col(id_col), 3, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic"))
+    return known.where("id is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
+
+
+def labelled_logits(df: DataFrame, known: DataFrame, model: ToxicModel, fitted: set, id_col: str, text_col: str) -> pd.DataFrame:
+    """Counts of all labelled rows per (language, bin, toxic, fitted). Texts are scored where they lie; only bins are joined."""
+    known = known.withColumn("id", F.col("id").cast(df.schema[id_col].dataType))  # equal ids have equal hashes
+    bits = np.frombuffer(membership_bits(known, F.xxhash64("id")), np.uint8)
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null").where(~held_out(F.col("id"), 3, 1)).withColumn("hash", F.xxhash64("id"))
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), *[T.StructField(c, T.IntegerType()) for c in ("language", "bin")]])
+
+    def task(batches):
+        hashing = WordHash(BITS)
+        for batch in batches:
+            batch = batch.filter(pa.array(may_contain(bits, batch.column(2).to_numpy(zero_copy_only=False))))
+            data, offsets = text_buffer(batch.column(1))
+            language, place = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int32)
+            for i, j in blocks(offsets, BLOCK_BYTES):
+                logit, language[i:j] = model.logits(*hashing.ids(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                place[i:j] = np.floor(np.clip(logit, -LOGIT_LIMIT, LOGIT_LIMIT) * LOGIT_BINS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(language), pa.array(place)], ["id", "language", "bin"])
+
+    binned = bounded_batches(rows).select("id", "text", "hash").mapInArrow(task, schema)
+    used = df.sparkSession.createDataFrame([(i,) for i in fitted], T.StructType([T.StructField("id", rows.schema["id"].dataType)]))
+    used = used.select("id", F.lit(1).alias("fitted"))
+    # at most languages x bins x 4 rows reach the driver, whatever the size of the table
+    joined = binned.join(known, "id").join(F.broadcast(used), "id", "left").withColumn("fitted", F.coalesce("fitted", F.lit(0)))
+    return joined.groupBy("language", "bin", F.col("toxic").cast("int").alias("toxic"), "fitted").agg(F.count(F.lit(1)).alias("n")).toPandas()
+
+
+def learned(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str) -> ToxicModel | None:
+    sample = labelled_sample(df, labels, id_col, text_col, lang_col, label_col)
+    check = np.arange(len(sample)) % 5 == 0  # rows come in the order of a hash: these are not fitted, however few rows there are
+    fit = sample if len(set(sample["toxic"][check])) < 2 or len(set(sample["toxic"][~check])) < 2 else sample[~check]
+    model = train(fit)
+    if model is not None:
+        set_cuts(model, labelled_logits(df, known_labels(labels, id_col, label_col), model, set(fit["id"]), id_col, text_col))
     return model
 
 
 def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str) -> pd.DataFrame:
     """At most ``SAMPLE_TOXIC`` + ``SAMPLE_CLEAN`` rows (text, lang, label), chosen by a hash of the id."""
-    known = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(F.col(id_col), 3, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic"))
-    known = known.where("id is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))  # a label per id, however often it is given
+    known = known_labels(labels, id_col, label_col)
     picked = None
     for value, limit in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
         one = known.where(F.col("toxic") == value).orderBy(F.xxhash64("id"), "id").limit(limit)
@@ -242,12 +288,12 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
 def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> DataFrame:
     """Score every whole text for toxicity; returns ``id_col``, ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
-    The model learns from a bounded sample of labelled rows that are not held out (crc32 of the id modulo 3 is not
-    1); ``predicted`` is 1 from a score of 0.7 on. Null and empty texts get the score of a text without words;
+    The filters learn from a bounded sample of labelled rows that are not held out (crc32 of the id modulo 3 is not
+    1), the thresholds from all of these rows; ``predicted`` is 1 from a score of 0.7 on. Null and empty texts get the score of a text without words;
     null ids are scored and not held out; rows that repeat are scored each. Without labels of both kinds every score
     is 0. An empty table gives no rows. Other columns are not read and may have any name.
     """
-    model = train(labelled_sample(df, labels, id_col, text_col, lang_col, label_col))
+    model = learned(df, labels, id_col, text_col, lang_col, label_col)
     scored = _scored(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model).drop("text")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id"), 3, 1).alias("held_out"), "score", rejected().cast("int").alias("predicted"))
 
@@ -275,7 +321,7 @@ def _scored(rows: DataFrame, model: ToxicModel | None) -> DataFrame:
 
 def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> DataFrame:
     """The rows of ``df``, all columns, that ``toxicity`` does not reject."""
-    model = train(labelled_sample(df, labels, id_col, text_col, lang_col, label_col))
+    model = learned(df, labels, id_col, text_col, lang_col, label_col)
     others = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
     clean = _scored(df.select(others.alias("id"), F.col(text_col).alias("text")), model).where(~rejected())
     return clean.select(*[F.col("text").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in df.columns])

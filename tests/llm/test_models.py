@@ -50,6 +50,37 @@ def test_toxicity_on_held_out_rows(toxic_tables, docs_of):
     assert toxicity(docs_of([]), labels).count() == 0
 
 
+def test_toxicity_cuts_see_the_real_share_of_labels(spark, docs_of, monkeypatch):
+    from holdwise.llm import toxicity as module
+
+    # one word stands in toxic and in clean texts alike: rejecting it pays only while toxic texts are common
+    rows = [(k, prose(30, k) + (" vexing" if k % 10 == 0 else ""), "en") for k in range(3000)]
+    bad = lambda k: int(k % 100 == 0)
+    labels = spark.createDataFrame([(k, 1, bad(k)) for k, _, _ in rows], "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    monkeypatch.setattr(module, "SAMPLE_TOXIC", 30)
+    monkeypatch.setattr(module, "SAMPLE_CLEAN", 30)
+    known = module.known_labels(labels, "doc_id", "toxic")
+    sample = module.labelled_sample(docs, labels, "doc_id", "text", "lang", "toxic")
+    model = module.train(sample)
+    counts = module.labelled_logits(docs, known, model, set(sample["id"]), "doc_id", "text")
+    assert counts["n"].sum() == known.count() > 1900 and counts["n"][counts["toxic"] == 1].sum() == known.where("toxic = 1").count()
+    assert counts["n"][counts["fitted"] == 1].sum() == len(sample) <= 60
+
+
+def test_toxicity_cut_follows_the_share(spark):
+    from holdwise.llm.toxicity import ToxicModel, set_cuts
+    import pandas as pd
+
+    def cut(clean):
+        model = ToxicModel(None, None, None, 0.0, np.zeros((1, 1)), np.zeros(1), 1.0)
+        rows = [(0, 64, 1, 0, 50), (0, 128, 1, 0, 50), (0, 64, 0, 0, clean), (0, -64, 0, 0, 10 * clean), (0, 64, 0, 1, clean)]
+        set_cuts(model, pd.DataFrame(rows, columns=["language", "bin", "toxic", "fitted", "n"]))
+        return model.cut[0]
+
+    assert cut(5) < 1 < cut(5000)
+
+
 def test_quality_on_held_out_rows(spark, docs_of, odd_rows):
     rows = [(k, (prose(40, k) if k % 4 else " | ".join(prose(30, k).split())), "en") for k in range(600)]
     labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(400)], "doc_id long, quality int")
