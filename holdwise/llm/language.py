@@ -11,15 +11,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdwise.llm.bpe import LETTER, char_class, class_table
 from holdwise.llm.common import blocks, bounded_batches, held_out, text_buffer
 
-#: The training sample per language: about so many documents, of each so many characters, in all so many.
-SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 96, 500, 32_000
+#: The training sample per language: so many characters, of each distinct text so many (more where texts are too few).
+SAMPLE_DOC_CHARS, SAMPLE_CHARS = 500, 32_000
+#: Places of texts are counted in so many bins per power of two.
+PLACE_BINS = 8
 #: Letters with a symbol of their own; rarer ones share ``SHARED`` symbols. Symbol 0 is any run of other characters.
 OWN, SHARED = 52, 11
 SYMBOLS = 1 + OWN + SHARED
@@ -142,21 +144,39 @@ class CrossParser:
 
 
 def samples(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, str]:
-    """At most ``SAMPLE_CHARS`` characters of text per language, from rows that are not held out, by a hash of the id."""
+    """``SAMPLE_CHARS`` characters of text per language, or all it has, from rows that are not held out.
+
+    Equal texts count once. They are taken by a hash of the text until their characters suffice, each as a slice at
+    a hashed offset; where a language has too few texts for that, the slices grow.
+    """
     known = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    known = known.where("id is not null and lang is not null and text is not null").where(~held_out(F.col("id"), 5, 0))
-    count = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.join(F.broadcast(count), "lang").withColumn("place", place).where(F.col("place") * F.col("n") < SAMPLE_DOCS)  # a row per language
-    chosen = chosen.select("lang", "place", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))  # ids that repeat share a place: the bound holds for them too
-    rows = chosen.withColumn("nth", nth).where(F.col("nth") <= 4 * SAMPLE_DOCS).collect()
-    out: dict[str, str] = {}
-    seen = set()
-    for r in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
-        if (r["lang"], r["text"]) not in seen and len(out.get(r["lang"], "")) < SAMPLE_CHARS:
-            seen.add((r["lang"], r["text"]))
-            out[r["lang"]] = (out.get(r["lang"], "") + " " + r["text"])[:SAMPLE_CHARS]
+    known = known.where("id is not null and lang is not null and text is not null").where(~held_out(F.col("id"), 5, 0)).where(F.col("text").rlike(r"\p{L}"))
+    place = (F.pmod(F.xxhash64("text"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40))
+    known = known.select("lang", F.xxhash64("text").alias("hash"), F.floor(-F.log2(place) * PLACE_BINS).alias("bin"), F.length("text").alias("size"), "text")
+    texts = known.groupBy("lang", "hash", "bin").agg(F.max("size").alias("size"))
+    counted = texts.groupBy("lang", "bin").agg(F.sum(F.least("size", F.lit(SAMPLE_DOC_CHARS))).alias("chars")).collect()  # at most 40 * PLACE_BINS rows a language
+    limits, chars = {}, Counter()
+    for r in sorted(counted, key=lambda r: (r["lang"], -r["bin"])):
+        if chars[r["lang"]] < SAMPLE_CHARS:
+            chars[r["lang"]] += r["chars"]
+            limits[r["lang"]] = r["bin"]
+    if not limits:
+        return {}
+    # where short slices do not suffice there are few texts, so longer slices of all of them stay bounded
+    limit = [(k, int(limits[k]), SAMPLE_DOC_CHARS if chars[k] >= SAMPLE_CHARS else SAMPLE_CHARS) for k in limits]
+    limit = df.sparkSession.createDataFrame(limit, "lang string, least long, slice int")  # a row per language
+    chosen = known.join(F.broadcast(limit), "lang").where("bin >= least")
+    offset = F.pmod(F.xxhash64("hash"), F.greatest(F.col("size") - F.col("slice"), F.lit(0)) + 1).cast("int") + 1
+    chosen = chosen.select("lang", "hash", "bin", F.col("text").substr(offset, F.col("slice")).alias("text"))
+    groups: dict[str, list[str]] = {}
+    for r in sorted(chosen.dropDuplicates(["lang", "hash"]).collect(), key=lambda r: (r["lang"], -r["bin"], r["hash"])):
+        groups.setdefault(r["lang"], []).append(r["text"])
+    out = {}
+    for lang, slices in groups.items():
+        size = SAMPLE_DOC_CHARS
+        while size < SAMPLE_CHARS and sum(min(len(t), size) for t in slices) < SAMPLE_CHARS:
+            size *= 2
+        out[lang] = " ".join(t[:size] for t in slices)[:SAMPLE_CHARS]
     return {k: v for k, v in out.items() if any(c.isalpha() for c in v)}
 
 

@@ -146,6 +146,18 @@ def test_languages_on_held_out_rows(docs_of, odd_rows):
     assert languages(docs_of([])).count() == 0
 
 
+def test_language_samples_are_filled_in_spite_of_copies(docs_of):
+    from holdwise.llm.language import SAMPLE_CHARS, samples
+
+    rows = [(k, prose(60, 1, WORDS["de"]), "de") for k in range(3000)]  # one group of copies
+    rows += [(4000 + k, "the same opening " * 40 + prose(300, k, WORDS["de"]), "de") for k in range(200)]
+    rows += [(5000 + k, f"{prose(1, k)}{k}", "en") for k in range(6000)]  # one-word texts
+    rows += [(20_000 + k, prose(9000, k), "fr") for k in range(6)]  # few long ones
+    got = samples(docs_of(rows + [(30_000, "", "en"), (30_001, "12", "en")]), "doc_id", "text", "lang")
+    assert {k: len(v) for k, v in got.items()} == {"de": SAMPLE_CHARS, "en": SAMPLE_CHARS, "fr": SAMPLE_CHARS}
+    assert got["de"].count(rows[0][1][:200]) <= 1 and got["de"].count("the same opening") < 900
+
+
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
