@@ -188,8 +188,7 @@ def hidden(text: str, span: Span) -> list[tuple[str, Span]]:
             ways += [part[part.index(groups[0]) + len(groups[0]) :].lstrip(" .-)"), *[d.join(groups[1:]) for d in "- ."]]
         if CALL_WORD.search(before):
             ways.append("".join(groups))
-    bare = before[-1:]  # the words before are hidden too, so that a span elsewhere needs none
-    return [(b + w + after, (kind, len(b), len(b) + len(w))) for w in dict.fromkeys(ways) for b in dict.fromkeys((before, bare))]
+    return [(before + w + after, (kind, len(before), len(before) + len(w))) for w in dict.fromkeys(ways)]
 
 
 def examples(text: str) -> list[tuple[list[float], int, float]]:

@@ -209,7 +209,7 @@ def test_personal_data_and_redaction(docs_of, odd_rows):
 
 
 def test_personal_data_without_its_marks_is_added(docs_of):
-    rows = [(k, f"{prose(9, k)} mail joe.{k}@host{k % 7}.example.com or +1 (456) 555-{2100 + k}, 10.0.0.{k} card 4539148803436467 {prose(9, k)}") for k in range(120)]
+    rows = [(k, f"{prose(9, k)} mail joe.{k}@host{k % 7}.example.com or +1 (456) 555-{2100 + k}, 10.0.0.{k} {prose(3, k)} 4539148803436467 {prose(9, k)}") for k in range(120)]
     rows += [(200 + k, f"{prose(9, k)} version 2024.10.{1000 + k} of 2024-10-{10 + k % 20} 12, token = \"ab{186661156 + k}f\" {prose(5, k)} {4539148803436460} ") for k in range(60)]
     rows += [(300 + k, f"{prose(9, k)} {what} {prose(9, k)}") for k, what in enumerate(["(456) 555-7188", "jane.doe (at) host3.example (dot) com", "version 2024.10.5551", "4539.1488.0343.6467", "10[.]0[.]0[.]77", "4539.1488.0343.6460", "2024-10-05 12"])]
     text = dict(rows)
