@@ -5,7 +5,8 @@ import random
 import pytest
 
 from holdwise import schemas as S
-from holdwise.operators.ledger import build_ledger, order_ledger
+from holdwise.operators import ledger_fold
+from holdwise.operators.ledger import build_ledger, folded_ledger, order_ledger
 from holdwise.operators.products import stage_transactions, synonym_rules
 from holdwise.plans import adapters as A
 from tests.fixtures import AUCTION, BONUS, CR, DB, GROUP, LEDGER_ROWS, NULL_DATE_ROWS, SETTLE, statements
@@ -87,3 +88,37 @@ def test_test_tables(spark):
 def test_empty(spark):
     staged = stage_transactions(statements(spark, LEDGER_ROWS[:1])).limit(0)
     assert build_ledger(staged, synonym_rules()).collect() == []
+
+
+def test_units_beyond_64_bits(spark):
+    rows = [(CR, f"{k + 1:02d}/01/2020", SETTLE, "HUGE3 - X", "999999999999", "1.00", "1.00") for k in range(12)]
+    staged = stage_transactions(statements(spark, rows))
+    for parts in (1, 5):
+        out = folded_ledger(staged, synonym_rules(), parts).collect()
+        assert max(r["_units"] for r in out) == 11_999_999_999_988.0
+
+
+def raw_doubles(staged, parts):
+    out = folded_ledger(staged, synonym_rules(), parts).collect()
+    return sorted((r["sk_product"], r["transaction_nr_for_product"], repr((r["_units"], r["_cost"], r["_prev_avg"], r["delta_units"]))) for r in out)
+
+
+@pytest.mark.parametrize("block", [16, 1 << 16])
+def test_costs_do_not_depend_on_the_cut(spark, monkeypatch, block):
+    """The doubles before rounding are the same bits for any number of range partitions, also over many blocks."""
+    monkeypatch.setattr(ledger_fold, "BLOCK", block)
+    rnd = random.Random(5)
+    rows = []
+    for k in range(1200):
+        move = rnd.choices([SETTLE, BONUS, AUCTION, GROUP], [90, 4, 3, 1])[0]
+        total = "-" if move in (BONUS, GROUP) else f"{rnd.randint(1, 9999)}.{rnd.randint(0, 99):02d}"
+        name = "HOTT3 - HOT" if k % 2 else f"AB{chr(65 + k % 7)}D4 - S{k % 7}"
+        day = f"{rnd.randint(1, 28)}/{rnd.randint(1, 12)}/{2000 + k % 20}"
+        direction, day, move, total = (CR, "1/1/1999", SETTLE, "100.00") if k < 14 else (rnd.choice([CR, CR, DB]), day, move, total)
+        rows.append((direction, day, move, name, f"{rnd.randint(1, 500)}.{rnd.randint(0, 9)}", f"{rnd.randint(1, 90)}.50", total))
+    staged = stage_transactions(statements(spark, rows)).cache()
+    whole = raw_doubles(staged, 1)
+    assert len(whole) == 1200 and sum("None" not in r[2] for r in whole) > 500
+    assert raw_doubles(staged, 7) == whole
+    assert raw_doubles(staged, 97) == whole
+    check(build_ledger(staged, synonym_rules(), 7), staged)
