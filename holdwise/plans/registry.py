@@ -19,6 +19,7 @@ from holdwise.operators.calendar import build_dim_date
 from holdwise.operators.compounding import cdi_daily, ipca_monthly, percent_to_rate
 from holdwise.operators.holdings import HOLDING_COLUMNS, daily_holdings, fact_daily_ownership
 from holdwise.operators.ledger import LEDGER_COLUMNS, ORDERED_COLUMNS, build_ledger, order_ledger
+from holdwise.operators.ordering import written
 from holdwise.operators.prices import (
     close_intervals,
     fill_daily_close,
@@ -34,7 +35,7 @@ from holdwise.operators.products import (
 )
 from holdwise.plans import adapters as A
 from holdwise.plans import landing
-from holdwise.sinks import save_table
+from holdwise.sinks import drop_table, save_table
 from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
 
 PRICE_WINDOW = (dt.date(1997, 1, 1), dt.date(2000, 1, 1))
@@ -176,27 +177,33 @@ def q_rate_window(spark, sf_dir):
 
 
 def q_raw_layer(spark, sf_dir):
-    """Statements stored in their model's layer, read by name, and queried as SQL."""
+    """Statements stored in their model's layer, read by name, and queried as SQL.
+
+    The table has a name of its own and goes when the counts are taken, so a warehouse's tables stay as they are.
+    """
     model = "b3_financial_transactions"
-    name = save_table(A.raw_transactions(spark, sf_dir), model, if_exists="replace", path=landing.scratch(spark, "raw_layer"))
-    rows = table(spark, model).groupBy(F.col(S.COL_MOVEMENT).alias("movement")).agg(F.count(F.lit(1)).alias("n_rows"))
+    path = landing.scratch(spark, "raw_layer")
+    own, layer = f"{model}_{path[-12:]}", S.layer_of(model)
+    name = save_table(A.raw_transactions(spark, sf_dir), own, layer=layer, path=path)
+    rows = table(spark, own, layer).groupBy(F.col(S.COL_MOVEMENT).alias("movement")).agg(F.count(F.lit(1)).alias("n_rows"))
     names = run_sql(spark, f"SELECT `{S.COL_MOVEMENT}` AS movement, count(DISTINCT `{S.COL_PRODUCT}`) AS n_products FROM {name} GROUP BY 1")
-    return rows.join(names, "movement").withColumn("layer", F.lit(name.split(".")[0]))
+    out = rows.join(names, "movement").withColumn("layer", F.lit(name.split(".")[0])).checkpoint(eager=True)
+    drop_table(spark, own, layer)
+    return out
 
 
 def q_save_modes(spark, sf_dir):
     """K1, K2: the table's rows and distinct products after it is created, appended to and replaced."""
-    # checkpointed once (in the shared folder), so the three writes do not recompute it
-    products = _products(spark, sf_dir).checkpoint(eager=True)
+    products = written(_products(spark, sf_dir), "products")  # once, so the three writes do not recompute it
     path = landing.scratch(spark, "products_table")
-    name = f"products_{abs(hash(path)) % 10**8}"
+    name = f"products_{path[-12:]}"
     out = None
     for step, mode in enumerate(("fail", "append", "replace")):
         save_table(products, name, layer="staging", if_exists=mode, path=path)
         counts = spark.table(f"staging.{name}").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("product").alias("n_products"))
         counts = counts.select(F.lit(step).alias("step"), F.lit(mode).alias("mode"), "n_rows", "n_products").checkpoint(eager=True)
         out = counts if out is None else out.union(counts)
-    spark.sql(f"DROP TABLE staging.{name}")
+    drop_table(spark, name, "staging")
     return out
 
 

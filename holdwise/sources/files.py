@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import io
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,37 +33,114 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+#: Bytes of a CSV file that must hold its header.
+HEADER_BYTES = 1 << 20
+
+
+def _beginning(spark: SparkSession, file: str, size: int) -> bytes:
+    """At most ``size`` bytes of a file on any file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        bounded = spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, size)
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(bounded))
+    finally:
+        stream.close()
+
+
+def _first_record(text: str) -> tuple[list[str], bool]:
+    """The first record of CSV text, and whether its end is in the text."""
+    taken = [""]
+
+    def lines():
+        for line in io.StringIO(text, newline=""):
+            taken[0] = line
+            yield line
+
+    try:
+        return next(csv.reader(lines(), strict=True), []), taken[0].endswith(("\n", "\r"))
+    except csv.Error:  # the text ends within quotes
+        return [], False
+
+
+def csv_header(spark: SparkSession, file: str) -> list[str]:
+    """Column names of a CSV file: its first record that is not blank, from a read of the file's beginning only."""
+    size = 1 << 12
+    while True:
+        data = _beginning(spark, file, size)
+        record, ended = _first_record(data.decode("utf-8-sig", errors="ignore").lstrip())
+        if record and (ended or len(data) < size):
+            return record
+        if len(data) < size:
+            raise ValueError(f"no header in statement file {file}")
+        if size >= HEADER_BYTES:
+            raise ValueError(f"the header of statement file {file} exceeds {HEADER_BYTES} bytes")
+        size *= 16
+
+
 def csv_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) of every distinct header line among CSV files.
+    """(column names, files) of every distinct header among CSV files.
 
-    The first line of each file comes from one distributed read of the files' first blocks (a partial aggregate
-    per file); only headers and file names reach the driver, which lists the files anyway.
+    The driver lists the files, as for any scan, and opens each for a bounded read of its beginning; no other byte is
+    read. A file without a header is an error that names it.
     """
-    lines = spark.read.text(_paths(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    lines = lines.where("file_block_start = 0").withColumn("nth", F.monotonically_increasing_id())
-    first = lines.groupBy("file_path").agg(F.min_by("value", "nth").alias("header"))
-    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect()
-    # file_path is a URI: unescape what the scan would escape again
-    return sorted((next(csv.reader([r["header"].lstrip("\ufeff")])), [unquote(f) for f in r["files"]]) for r in rows if r["header"])
+    files = [unquote(f) for f in spark.read.text(_paths(paths)).inputFiles()]
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, names in zip(files, pool.map(lambda f: csv_header(spark, f), files), strict=True):
+            layouts.setdefault(tuple(names), []).append(file)
+    return sorted((list(names), sorted(group)) for names, group in layouts.items())
+
+
+def literal(file: str) -> str:
+    """A path that the readers take as it is, not as a glob."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", file)
+
+
+def _is_header(names: list[str]) -> Column:
+    first, *rest = [F.col(f"`{c}`") for c in names]
+    same = F.regexp_replace(F.coalesce(first, F.lit("")), "^\ufeff", "") == names[0]
+    for c, name in zip(rest, names[1:], strict=True):
+        same &= c.eqNullSafe(F.lit(name or None))
+    return same
+
+
+def _is_blank(names: list[str]) -> Column:
+    first, *rest = [F.col(f"`{c}`") for c in names]
+    blank = F.trim(F.regexp_replace(F.coalesce(first, F.lit("")), "^\ufeff", "")) == ""
+    for c in rest:
+        blank &= c.isNull()
+    return blank
 
 
 def read_statements(
     spark: SparkSession,
     paths: str | Sequence[str],
     fmt: str = "csv",
+    multiline: bool = True,
 ) -> DataFrame:
     """Stack statement files by column name; a missing column is null.
 
     ``paths`` is one glob or a list of globs. CSV files may differ in the columns they have and in their order, also
-    within one glob: files are grouped by their header line, each group is read with its own columns, and the groups
-    are stacked by name. JSON and Parquet scans merge columns by name on their own. Every cell stays text. No
-    matching file is an error, as in the original loader. The file index is not kept.
+    within one glob: files are grouped by their header, each group is read with its own columns, and the groups
+    are stacked by name. Blank lines before the header are skipped. JSON and Parquet scans merge columns by name on
+    their own. Every cell stays text. No matching file, and a CSV file without a header, are errors, as in the
+    original loader. The file index is not kept.
+
+    CSV cells may hold line breaks, as workbook cells do; a file is then read by one task. With ``multiline=False``
+    large files are split over tasks, and a record that does not have the header's columns (such as a cell that goes
+    on in the next line) is an error, never two rows.
     """
     if fmt == "csv":
         frames = []
         for names, files in csv_layouts(spark, paths):
             schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-            frames.append(spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files))
+            reader = spark.read.schema(schema).option("escape", '"').option("enforceSchema", True)
+            if multiline:  # whose reader would take a line of blanks for the header
+                rows = reader.option("multiLine", True).csv([literal(f) for f in files])
+                frames.append(rows.where(~_is_header(names) & ~_is_blank(names)))
+            else:
+                frames.append(reader.option("header", True).option("mode", "FAILFAST").csv([literal(f) for f in files]))
     else:
         option = {"primitivesAsString": True, "multiLine": True} if fmt == "json" else {"mergeSchema": True}
         frames = [spark.read.options(**option).format(fmt).load(p) for p in _paths(paths)]

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from holdwise.schemas import STATEMENT_COLUMNS
 from holdwise.session import shared_dir
-from holdwise.sources import read_statements
+from holdwise.sources.files import literal, read_statements
 
 
 def land_statements_incrementally(
@@ -30,12 +30,14 @@ def land_statements_incrementally(
         checkpoint = f"{shared_dir(spark)}/streams/{hashlib.sha256(table_path.rstrip('/').encode()).hexdigest()[:24]}"
 
     def land(files: DataFrame, batch: int) -> None:
-        paths = [unquote(r["file_path"]) for r in files.select("file_path").distinct().collect()]  # file names only
+        paths = [literal(unquote(r["path"])) for r in files.select("path").collect()]  # file names only
         if paths:
             rows = read_statements(spark, paths).select(*[f"`{c}`" for c in STATEMENT_COLUMNS])
             rows.write.mode("overwrite").parquet(f"{table_path}/batch={batch}")
 
-    stream = spark.readStream.format("text").load(landing_glob).select("_metadata.file_path")
+    # of binary files only the path is asked for, so their content is not read here
+    found = "path string, modificationTime timestamp, length long, content binary"
+    stream = spark.readStream.format("binaryFile").schema(found).load(landing_glob).select("path")
     query = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
         query.awaitTermination()

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdwise import schemas as S
-from holdwise.sinks import materialize, save_table
+from holdwise.plans.registry import QUERIES
+from holdwise.sinks import drop_table, materialize, save_table, tables
 from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
+from holdwise.sources import files
 from holdwise.sources.files import rate_table_name
 
 
@@ -119,3 +121,93 @@ def test_statement_files_of_one_glob_are_stacked_by_name(spark):
     assert [r[c] for c in S.STATEMENT_COLUMNS for r in out[:1]] == list(a.values())
     assert out[1][S.COL_INSTITUTION] == "Broker, Inc" and out[1][S.COL_DIRECTION] == "Credito"
     assert out[1][S.COL_UNIT_PRICE] is None and out[1]["Extra"] == "more"
+
+
+def _csv(path, text):
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(text)
+
+
+HEADER = ",".join(S.STATEMENT_COLUMNS)
+
+
+def test_blank_lines_before_the_header_and_breaks_in_cells(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    _csv(f"{d}/a [1].csv", f'\n  \n{HEADER}\nCredito,01/01/2020,"two\nlines, ""quoted""",P,B,1,2,2\nDebito,02/01/2020,x,P,B,1,2,2\n')
+    _csv(f"{d}/b.csv", f"{HEADER}\n")
+    _csv(f"{d}/c.csv", "﻿" + f"{HEADER},Extra\nCredito,03/01/2020,y,P,B,1,2,2,more\n")
+    got = {r["Data"]: r for r in read_statements(spark, f"{d}/*.csv").collect()}
+    assert sorted(got) == ["01/01/2020", "02/01/2020", "03/01/2020"]
+    assert got["01/01/2020"]["Movimentação"] == 'two\nlines, "quoted"'
+    assert got["03/01/2020"]["Extra"] == "more" and got["03/01/2020"]["Entrada/Saída"] == "Credito"
+
+
+def test_a_broken_record_is_an_error_where_files_are_split(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    _csv(f"{d}/a.csv", f'{HEADER}\nCredito,01/01/2020,"two\nlines",P,B,1,2,2\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_statements(spark, f"{d}/*.csv", multiline=False).collect()
+
+
+def test_a_file_without_a_header_is_named(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    _csv(f"{d}/good.csv", f"{HEADER}\n")
+    _csv(f"{d}/empty one.csv", "\n\n")
+    with pytest.raises(ValueError, match="empty one.csv"):
+        read_statements(spark, f"{d}/*.csv")
+
+
+def test_only_the_beginning_of_a_file_is_read_for_its_header(spark, monkeypatch):
+    d = tempfile.mkdtemp(prefix="run-")
+    _csv(f"{d}/long.csv", HEADER + "\n" + "Credito,01/01/2020,x,P,B,1,2,2\n" * 200_000)
+    assert files.csv_header(spark, f"{d}/long.csv") == S.STATEMENT_COLUMNS
+    monkeypatch.setattr(files, "HEADER_BYTES", 1 << 13)
+    _csv(f"{d}/wide.csv", ",".join(f"column {k}" for k in range(9000)))
+    with pytest.raises(ValueError, match="wide.csv"):
+        files.csv_header(spark, f"{d}/wide.csv")
+
+
+@pytest.mark.parametrize("kind", ["plain", "external", "partitioned", "made elsewhere", "made elsewhere, partitioned"])
+def test_a_replace_that_fails_keeps_the_old_rows(spark, kind):
+    name = "kept_" + kind.replace(" ", "_").replace(",", "")
+    old = spark.range(10).withColumn("part", F.col("id") % 3)
+    args = {"path": tempfile.mkdtemp(prefix="run-")} if kind == "external" else {}
+    if "partitioned" in kind:
+        args["partition_by"] = ["part"]
+    if "elsewhere" in kind:
+        spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+        writer = old.write.partitionBy("part") if "partitioned" in kind else old.write
+        writer.saveAsTable(f"staging.{name}")
+    else:
+        save_table(old, name, layer="staging", **args)
+    # the error comes in the middle of the write, after other rows are out
+    bad = spark.range(0, 1000, 1, 4).withColumn("part", F.col("id") % 2).withColumn("x", F.when(F.col("id") == 900, F.raise_error(F.lit("broken row"))).otherwise("a"))
+    with pytest.raises(Exception, match="broken row"):
+        save_table(bad, name, layer="staging", if_exists="replace", **args)
+    assert spark.table(f"staging.{name}").select("id", "part").collect().__len__() == 10
+    assert [t.name for t in spark.catalog.listTables("staging") if t.name.startswith(name + "__")] == []
+    # a good one has other columns, and may read the table that it replaces
+    new = spark.table(f"staging.{name}").where("id < 4").withColumn("y", F.lit(1))
+    save_table(new, name, layer="staging", if_exists="replace", **args)
+    assert sorted(tuple(r) for r in spark.table(f"staging.{name}").select("id", "y").collect()) == [(k, 1) for k in range(4)]
+    more = spark.range(1).selectExpr("id", "id AS part", "1 AS y")
+    save_table(more, name, layer="staging", if_exists="append", **args)
+    assert spark.table(f"staging.{name}").count() == 5
+    drop_table(spark, name, "staging")
+    drop_table(spark, name, "staging")  # absent: no error
+    if kind == "external":
+        assert os.listdir(args["path"]) == []
+
+
+def test_a_swap_that_fails_gives_the_old_table_its_name_back(spark):
+    save_table(spark.range(3), "swap_back", layer="staging")
+    with pytest.raises(Exception):
+        tables._swap(spark, "staging", "swap_back", "no_such_table")
+    assert spark.table("staging.swap_back").count() == 3
+
+
+def test_raw_layer_leaves_the_warehouse_alone(spark):
+    save_table(spark.range(7), "b3_financial_transactions", if_exists="replace")
+    QUERIES["raw_layer"](spark, "/root/testdata/sf0.001").collect()
+    assert spark.table("raw.b3_financial_transactions").count() == 7
+    drop_table(spark, "b3_financial_transactions")
