@@ -118,8 +118,9 @@ def blocks_of(rows: DataFrame, block: int, span: int) -> tuple[DataFrame, DataFr
     at = F.floor(F.col("nth") / block)
     rows = rows.select("id", "label", "dims", "v", F.concat_ws(":", "dims", "label", at.cast("string")).alias("block"), F.concat_ws(":", "dims", "label", F.floor(at / span).cast("string")).alias("span"))
     rows = stored(rows, "negatives-blocks")
-    zones = rows.select("dims", "label", "span", "block", F.posexplode("v").alias("d", "x")).groupBy("dims", "label", "span", "block", "d").agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    zones = zones.groupBy("dims", "label", "span", "block").agg(F.sort_array(F.collect_list(F.struct("d", "low", "high"))).alias("z"))
+    zones = rows.select("dims", "label", "span", "block", F.posexplode_outer("v").alias("d", "x")).groupBy("dims", "label", "span", "block", "d").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    bound = F.when(F.col("d").isNotNull(), F.struct("d", "low", "high"))  # none of an empty vector
+    zones = zones.groupBy("dims", "label", "span", "block").agg(F.sort_array(F.collect_list(bound)).alias("z"))
     return rows, stored(zones.select("dims", "label", "span", "block", F.col("z.low").alias("low"), F.col("z.high").alias("high")), "negatives-zones")
 
 
