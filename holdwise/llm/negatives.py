@@ -250,8 +250,9 @@ def hard_negatives(
     good = stored(good, "negatives-positives")
 
     # windows in whole numbers: low >= least % of the positive's score, high <= most % of it
-    share = F.col("positive_score")
-    window = good.select("anchor", "w", (-F.floor(-share * least / F.lit(100))).alias("low"), F.floor(share * most / F.lit(100)).alias("high"))
+    rest = F.pmod("positive_score", F.lit(100))
+    hundreds = F.expr("(positive_score - pmod(positive_score, 100)) div 100")  # so that no product leaves 64 bits
+    window = good.select("anchor", "w", (hundreds * least + F.ceil(rest * least / 100)).alias("low"), (hundreds * most + F.floor(rest * most / 100)).alias("high"))
     windows = window.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("w", "low", "high"))).alias("s"))  # `positives` of them
     asking = at.drop("span").join(windows.select("anchor", F.col("s.low").alias("low"), F.col("s.high").alias("high")), "anchor")
     bad = met(stored(asking, "negatives-asking"), rows, zones, False, negatives)
