@@ -21,7 +21,7 @@ from holdwise.operators.ordering import numbered, ranged
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Documents that fly together.
-CHUNK = 20_000
+CHUNK = 2_000
 #: Documents that the landing decides together, at most (all 2**LANDING ways are tried).
 LANDING = 12
 EPS = 1e-9

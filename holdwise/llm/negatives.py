@@ -146,16 +146,16 @@ def met(anchors: DataFrame, rows: DataFrame, zones: DataFrame, same: bool, top:
                     out["grp"].append(int(a["grp"].iloc[0]))
                     out["span"].append(name)
                     out["anchor"].append(int(a["anchor"].iloc[i]))
-                    out["blocks"].append(blocks.tolist())
-        return pd.DataFrame(out)
+                    out["blocks"].append(",".join(blocks))
+        return pd.DataFrame(out).astype({"span": object, "blocks": object})
 
     # a group looks at all zone maps of its length, some thousand of them in a task
     pieces = zones.withColumn("piece", F.pmod(F.xxhash64("span"), F.lit(zones.count() // 4096 + 1)))
     looks = pieces.join(stored(anchors.select("dims", "grp").distinct(), "negatives-groups"), "dims")
     asked = anchors.join(stored(pieces.select("dims", "piece").distinct(), "negatives-pieces"), "dims")
     planned = asked.groupBy("dims", "grp", "piece").cogroup(looks.groupBy("dims", "grp", "piece"))
-    planned = stored(planned.applyInPandas(plan, "grp long, span string, anchor long, blocks array<string>"), "negatives-plan")
-    wanted = stored(planned.select("grp", "span", F.explode("blocks").alias("block")).distinct(), "negatives-wanted")
+    planned = stored(planned.applyInPandas(plan, "grp long, span string, anchor long, blocks string"), "negatives-plan")
+    wanted = stored(planned.select("grp", "span", F.explode(F.split("blocks", ",")).alias("block")).distinct(), "negatives-wanted")
     needed = wanted.join(rows.select("id", "v", "block"), "block")
     asking = planned.join(anchors.select("anchor", "self", "v", "low", "high"), "anchor")
     found = asking.groupBy("grp", "span").cogroup(needed.groupBy("grp", "span"))
@@ -168,7 +168,7 @@ def best_in_windows(a: pd.DataFrame, r: pd.DataFrame, top: int) -> pd.DataFrame:
     """The ``top`` best rows of the blocks that an anchor reads, for each of its windows."""
     out: dict[str, list] = {"anchor": [], "w": [], "id": [], "score": []}
     for block, part in r.groupby("block"):
-        mine = a[[block in b for b in a["blocks"]]]
+        mine = a[[block in b.split(",") for b in a["blocks"]]]
         if not len(mine):
             continue
         part = part.sort_values("id", kind="stable")
