@@ -18,7 +18,7 @@ from holdwise.operators.compounding import cdi_daily, ipca_monthly
 from holdwise.operators.holdings import fact_daily_ownership
 from holdwise.operators.ledger import build_ledger
 from holdwise.operators.prices import close_intervals, fill_daily_close, stage_prices, with_split_factor
-from holdwise.operators.products import build_dim_product, build_products, stage_transactions, synonym_rules
+from holdwise.operators.products import build_dim_product, build_products, product_names, stage_transactions, synonym_rules
 
 
 @dataclass
@@ -67,6 +67,7 @@ def build_all(
         "yfinance__staging__stock_price_history": prices,
         "yfinance__staging__daily_stock_close_price": daily_close,
         "dim_product": build_dim_product(products),
+        "dim_product_names": product_names(products),
         "fact_daily_stock_ownership": fact,
     }
 

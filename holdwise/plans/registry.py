@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from holdwise import schemas as S
 from holdwise.functions import mul, parse_dmy, round_half_away
+from holdwise.functions.sql import register_functions
 from holdwise.operators.calendar import build_dim_date
 from holdwise.operators.compounding import cdi_daily, ipca_monthly, percent_to_rate
 from holdwise.operators.holdings import HOLDING_COLUMNS, daily_holdings, fact_daily_ownership
@@ -30,13 +31,15 @@ from holdwise.operators.prices import (
 from holdwise.operators.products import (
     build_dim_product,
     build_products,
+    product_names,
     stage_transactions,
     synonym_rules,
 )
 from holdwise.plans import adapters as A
 from holdwise.plans import landing
-from holdwise.sinks import drop_table, save_table
+from holdwise.sinks import drop_table, replace_partitions, save_table
 from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
+from holdwise.sources.files import RATE_TABLE, read_rate_table
 
 PRICE_WINDOW = (dt.date(1997, 1, 1), dt.date(2000, 1, 1))
 
@@ -176,6 +179,41 @@ def q_rate_window(spark, sf_dir):
     return ipca_monthly(read_rate_series(spark, f"{path}/*/part-*", None, *RATE_WINDOW))
 
 
+RELOAD = (dt.date(1997, 1, 1), dt.date(1999, 12, 31))
+
+
+def q_rate_table(spark, sf_dir):
+    """Three series in one table by indicator; then the daily one is loaded again for a window, alone."""
+    path = landing.scratch(spark, "rate_table")
+    name = f"{RATE_TABLE}_{path[-12:]}"
+    cdi = landing.land_rate_series(A.raw_daily_rates(spark, sf_dir))
+    for indicator, folder in (("cdi", cdi), ("selic_goal", landing.land_rate_series(A.raw_selic_rates(spark, sf_dir))), ("ipca", landing.land_rate_series(A.raw_monthly_rates(spark, sf_dir)))):
+        replace_partitions(read_rate_series(spark, f"{folder}/*/part-*", indicator), name, ["indicator"], "raw", path)
+    replace_partitions(read_rate_series(spark, f"{cdi}/*/part-*", "cdi", *RELOAD), name, ["indicator"], "raw", path)
+    out = read_rate_table(spark, name=name).checkpoint(eager=True)
+    drop_table(spark, name, "raw")
+    return out
+
+
+def q_mul_sql(spark, sf_dir):
+    """``mul`` in SQL text, as an aggregate and over a window."""
+    register_functions(spark)
+    rates = A.raw_daily_rates(spark, sf_dir).select(parse_dmy("data").alias("day"), percent_to_rate(F.col("valor")).alias("rate"))
+    rates.createOrReplaceTempView("holdwise_daily_rates")
+    return run_sql(
+        spark,
+        """SELECT day, r.rate, r.so_far, t.month_factor FROM (
+             SELECT day, rate, trunc(day, 'month') AS month, round(mul(CAST(1 + rate AS DOUBLE)) OVER (PARTITION BY trunc(day, 'month') ORDER BY day), 9) AS so_far
+             FROM holdwise_daily_rates) r
+           JOIN (SELECT trunc(day, 'month') AS month, round(mul(CAST(1 + rate AS DOUBLE)), 9) AS month_factor FROM holdwise_daily_rates GROUP BY 1) t
+           ON r.month = t.month""",
+    )
+
+
+def q_product_names(spark, sf_dir):
+    return product_names(_products(spark, sf_dir))
+
+
 def q_raw_layer(spark, sf_dir):
     """Statements stored in their model's layer, read by name, and queried as SQL.
 
@@ -228,6 +266,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "statement_scan": q_statement_scan,
     "rate_scan": q_rate_scan,
     "rate_window": q_rate_window,
+    "rate_table": q_rate_table,
+    "mul_sql": q_mul_sql,
+    "product_names": q_product_names,
     "raw_layer": q_raw_layer,
     "save_modes": q_save_modes,
 }

@@ -91,6 +91,7 @@ MODEL_LAYER = {
     "yfinance__staging__stock_price_history": "staging",
     "yfinance__staging__daily_stock_close_price": "staging",
     "dim_product": "dw",
+    "dim_product_names": "dw",
     "fact_daily_stock_ownership": "dw",
 }
 

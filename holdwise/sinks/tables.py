@@ -105,3 +105,19 @@ def materialize(spark: SparkSession, name: str, df: DataFrame, partition_by: lis
     """
     qualified = save_table(df, name, if_exists="replace", partition_by=partition_by)
     return spark.table(qualified)
+
+
+def replace_partitions(df: DataFrame, name: str, partition_by: list[str], layer: str | None = None, path: str | None = None) -> str:
+    """Save ``df`` into a partitioned table, replacing only the partitions that it has rows of.
+
+    The table is created if absent; other partitions' files are not touched. A write that fails changes nothing: new
+    files are moved into their partitions when all are written.
+    """
+    spark = df.sparkSession
+    db = layer_of(name, layer)
+    qualified = f"`{db}`.`{name}`"
+    if not spark.catalog.tableExists(qualified):
+        return save_table(df, name, layer=layer, partition_by=partition_by, path=path)
+    rows = df.select(*[f"`{c}`" for c in spark.table(qualified).columns])  # inserted by place
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(qualified)
+    return f"{db}.{name}"

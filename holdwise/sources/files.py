@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from holdwise import schemas as S
 from holdwise.functions import parse_dmy
+from holdwise.sources.catalog import table
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -182,6 +183,16 @@ def rate_table_name(indicator: str, granularity: str) -> str:
     return f"central_bank_{indicator}_{granularity}"
 
 
+#: One table of all rate series, partitioned by indicator.
+RATE_TABLE = "central_bank_rates"
+
+
+def read_rate_table(spark: SparkSession, indicator: str | None = None, name: str = RATE_TABLE, layer: str = "raw") -> DataFrame:
+    """The stored rate series; with ``indicator`` only that series' files are read."""
+    rows = table(spark, name, layer)
+    return rows if indicator is None else rows.where(F.col("indicator") == indicator)
+
+
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
     """S3: yearly JSON lists of holidays -> distinct dates flagged as holidays.
 

@@ -46,3 +46,16 @@ def test_sentinel_decimal(spark):
     df = spark.createDataFrame([("-",), ("12.34",), (None,)], "v string")
     got = [r["p"] for r in df.select(sentinel_decimal("v").alias("p")).collect()]
     assert got == [None, Decimal("12.340000"), None]
+
+
+def test_mul_in_sql_text(spark):
+    from holdwise.functions.sql import register_functions
+
+    register_functions(spark)
+    spark.sql("SELECT * FROM VALUES ('a', 1, 2.0D), ('a', 2, NULL), ('a', 3, 4.0D), ('b', 1, NULL), ('c', 1, -3.0D) AS t(k, n, x)").createOrReplaceTempView("mul_rows")
+    got = spark.sql("SELECT k, mul(x) AS m FROM mul_rows GROUP BY k")
+    assert dict(tuple(r) for r in got.collect()) == {"a": 8.0, "b": 1.0, "c": -3.0}
+    spark.sql("SELECT k, cast(x AS decimal(10,2)) AS x FROM mul_rows").createOrReplaceTempView("mul_decimals")
+    assert spark.sql("SELECT mul(x) AS m FROM mul_decimals").first()["m"] == -24.0
+    run = spark.sql("SELECT k, n, mul(x) OVER (PARTITION BY k ORDER BY n) AS m FROM mul_rows").collect()
+    assert {(r.k, r.n): r.m for r in run} == {("a", 1): 2.0, ("a", 2): 2.0, ("a", 3): 8.0, ("b", 1): 1.0, ("c", 1): -3.0}

@@ -99,3 +99,13 @@ def test_overlapping_rules_give_a_row_each(spark):
     raw = statements(spark, [(CR, "01/01/2020", SETTLE, "OLDX3 - RENAMED", "1", "1.00", "1.00"), (CR, "01/01/2020", SETTLE, None, "1", "1.00", "1.00")])
     p = build_products(stage_transactions(raw), synonym_rules([("(OLDX)(\\d+)", "NEWX$2"), ("OLD.3", "OTHR3")]))
     assert sorted(map(str, (r["product_code"] for r in p.collect()))) == ["NEWX3", "None", "OTHR3"]
+
+
+def test_names_of_a_key_of_any_size(spark):
+    from holdwise.operators.products import product_names
+
+    rows = spark.range(50_000).selectExpr("'hot' AS sk_product", "concat('n', lpad(id, 6, '0')) AS product").union(spark.sql("SELECT 'hot', NULL UNION ALL SELECT 'b', 'x'"))
+    names = product_names(rows, 7)
+    got = {(r["sk_product"], r["product"]): r["name_nr"] for r in names.collect()}
+    assert got["hot", None] == 1 and got["hot", "n000000"] == 2 and got["hot", "n049999"] == 50_001 and got["b", "x"] == 1
+    assert sorted(n for (sk, _), n in got.items() if sk == "hot") == list(range(1, 50_002))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from holdwise import schemas as S
 from holdwise.plans.registry import QUERIES
-from holdwise.sinks import drop_table, materialize, save_table, tables
+from holdwise.sinks import drop_table, materialize, replace_partitions, save_table, tables
 from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
 from holdwise.sources import files
 from holdwise.sources.files import rate_table_name
@@ -211,3 +211,26 @@ def test_raw_layer_leaves_the_warehouse_alone(spark):
     QUERIES["raw_layer"](spark, "/root/testdata/sf0.001").collect()
     assert spark.table("raw.b3_financial_transactions").count() == 7
     drop_table(spark, "b3_financial_transactions")
+
+
+def test_a_series_is_reloaded_alone(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    series = {"cdi": [("01/01/2020", "0.1"), ("02/01/2020", "0.2")], "ipca": [("01/01/2020", "0.5")]}
+    for indicator, points in series.items():
+        rows = spark.createDataFrame(points, S.RATE_SCHEMA).withColumn("indicator", F.lit(indicator))
+        replace_partitions(rows, "rates_test", ["indicator"], "raw", d)
+    kept = files.read_rate_table(spark, "ipca", "rates_test")
+    before = sorted(kept.inputFiles())
+    again = spark.createDataFrame([("03/01/2020", "0.3")], S.RATE_SCHEMA).withColumn("indicator", F.lit("cdi"))
+    replace_partitions(again.select("indicator", "valor", "data"), "rates_test", ["indicator"], "raw", d)
+    cdi = files.read_rate_table(spark, "cdi", "rates_test")
+    assert [(r["data"], r["valor"]) for r in cdi.collect()] == [("03/01/2020", "0.3")]
+    kept = files.read_rate_table(spark, "ipca", "rates_test")
+    assert sorted(kept.inputFiles()) == before and kept.count() == 1
+    plan = cdi._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(indicator" in plan
+    bad = again.withColumn("valor", F.raise_error(F.lit("broken row")))
+    with pytest.raises(Exception, match="broken row"):
+        replace_partitions(bad, "rates_test", ["indicator"], "raw", d)
+    assert files.read_rate_table(spark, "cdi", "rates_test").count() == 1
+    drop_table(spark, "rates_test", "raw")
