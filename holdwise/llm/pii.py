@@ -5,14 +5,17 @@ further spans, which may overlap; boosted trees judge each by its format and con
 kind select those that are redacted besides the base spans.
 
 The trees need no labelled table. Every base span counts as personal data, shown without the mark of its format (no
-'+', spelled signs, other separators). A proposed span counts as harmless only where it fails its kind's check or stands
-in a clearly other context (version, date, part of a longer run). All other proposals are unlabelled: the trees judge
-them. They are fitted on a bounded sample; the thresholds come from counts over all documents.
+'+', spelled signs, other separators). Harmless are proposed spans that fail their kind's check or stand in a clearly
+other context (version, date, part of a longer run), and look-alikes: numbers that pass a check by chance and words
+around "at" and "dot", set into the documents' own prose at hashed places. The trees alone judge what is proposed, also
+what resembles the harmless ones. They are fitted on a bounded sample; the thresholds come from counts over all documents.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +41,8 @@ DIGITS = re.compile(r"[0-9]+")
 SAMPLE_DOCS, SAMPLE_BYTES = 4000, 24_000
 #: Precision that a threshold must reach on the labelled spans of all documents, and the bins of their probabilities.
 PRECISION, BINS = 0.98, 1000
+#: Look-alikes tried for each base span.
+LOOK_ALIKES = 4
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 #: Generators: number-like clusters, addresses that spell out or bracket their signs.
@@ -191,12 +196,51 @@ def hidden(text: str, span: Span) -> list[tuple[str, Span]]:
     return [(before + w + after, (kind, len(before), len(before) + len(w))) for w in dict.fromkeys(ways)]
 
 
+def look_alikes(text: str, base: list[Span]) -> list[tuple[str, Span]]:
+    """For each base span, spans of its kind that pass its check but are nobody's, in prose of the text without digits.
+
+    Places and digits come from a hash of the span and of its place.
+    """
+    out = []
+    for kind, s, e in base:
+        rnd = random.Random(zlib.crc32(f"{kind}:{s}:{text[s:e]}".encode()))
+        for _ in range(LOOK_ALIKES):
+            at = text.find(" ", rnd.randrange(len(text)))
+            before, after = text[max(0, at - 26) : at + 1], text[at : at + 3]
+            if at < 1 or len(after) < 3 or any(c.isdigit() or c in "@+" for c in before + after) or CONTEXT.search(before[-14:]):
+                continue
+            part = look_alike(kind, rnd, text)
+            span = (kind, len(before), len(before) + len(part))
+            if part and passes(span, before + part + after):
+                out.append((before + part + after, span))
+    return out
+
+
+def look_alike(kind: int, rnd: random.Random, text: str) -> str:
+    """Something that reads like a kind: counts and scores, numbered sections, codes, words around "at" and "dot"."""
+    if kind == 0:
+        words = [w for w in text[: 1 << 12].split() if w.isascii() and w.isalpha()]
+        return "{} at {} dot {}".format(*(rnd.choice(words) for _ in range(3))) if words else ""
+    if kind == 1:
+        return rnd.choice([" . ", ". ", " ."]).join(str(rnd.randint(0, 20)) for _ in range(4))
+    if kind == 2:
+        sizes = rnd.choice([(3, 5, 4), (5, 5, 5), (2, 4, 4, 4), (4, 4, 4, 4), (6, 3, 6)])
+        first = rnd.choice("0127893456")
+        digits = first + "".join(rnd.choice("0123456789") for _ in range(sum(sizes) - 2))
+        digits += next(d for d in "0123456789" if luhn(digits + d))
+        cuts = [sum(sizes[:k]) for k in range(len(sizes) + 1)]
+        return rnd.choice([".", "/", "  "]).join(digits[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+    sizes = rnd.choice([(3, 3, 4), (3, 3, 4), (2,) * 5, (2,) * 6, (4, 3, 4), (3, 3, 3), (1, 2, 3, 4), (5, 5)])
+    return rnd.choice([" ", " ", "  ", "/"]).join(str(rnd.randint(10 ** (n - 1), 10**n - 1)) for n in sizes)
+
+
 def examples(text: str) -> list[tuple[list[float], int, float]]:
     """Features, label and weight of the labelled spans of a text; the ways to write one base span share its weight."""
     base, out = base_spans(text), []
     for b in base:
         ways = hidden(text, b)
         out += [(features(t, c), 1, 1 / len(ways)) for t, c in ways]
+    out += [(features(t, c), 0, 1 / LOOK_ALIKES) for t, c in look_alikes(text, base)]
     return out + [(features(text, c), 0, 1.0) for c in open_candidates(text, base) if harmless(c, text)]
 
 
@@ -212,6 +256,10 @@ def open_candidates(text: str, base: list[Span]) -> list[Span]:
     return out
 
 
+#: Place of the kind among the features.
+KIND = 10
+
+
 def char_kind(c: str) -> int:
     return 0 if not c else 1 if c.isspace() else 2 if c.isalpha() else 3 if c.isdigit() else 4
 
@@ -226,7 +274,10 @@ def features(text: str, span: Span) -> list[float]:
     word = CONTEXT.search(before.rstrip(" :=#")[-12:] + " ")
     hint = word.lastindex if word else 0
     near = text[max(0, s - 1) : s] + after[:1]
+    digits = "".join(groups)
     return [
+        bool(OTHER_WORD.search(before)), bool(CALL_WORD.search(before)), bool(DATE.search(part)), len(digits) == 13 and digits[:3] in ("978", "979"), bool(PLAIN_NUMBER.match(part)),
+        before[-1:] in (".", "-", "/", ",") and before[-2:-1].isdigit(), after[:1] in (".", "-", "/", ",") and after[1:].isdigit(), part.count("["), part.count("  "), part.startswith("0"),
         kind, passes(span, text), e - s, sum(sizes), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], part.count(" "), part.count("-"), part.count("."), part.count("("), part.count("/"),
         part[0] == "+", part[0] == "(", "@" in part, float(part[:1] in "3456"), float(groups[0][0]) if groups else -1, char_kind(text[s - 1 : s] if s else ""), char_kind(after[:1]),
         char_kind(after[1:2]), sum(c in HEXLIKE for c in near), hint, sum(map(str.isalpha, part)), len(set(part)),
@@ -268,7 +319,7 @@ def calibrated(model: PiiModel | None, texts: DataFrame) -> PiiModel | None:
                 found = examples(data[offsets[k] : offsets[k + 1]].tobytes().decode())
                 if found:
                     x = np.array([f for f, _, _ in found], np.float64)
-                    place = np.minimum((model.trees.probability(x) * BINS).astype(np.int64), BINS - 1) + BINS * x[:, 0].astype(np.int64)
+                    place = np.minimum((model.trees.probability(x) * BINS).astype(np.int64), BINS - 1) + BINS * x[:, KIND].astype(np.int64)
                     total += np.bincount(place + size * np.array([y for _, y, _ in found]), [w for _, _, w in found], 2 * size)
         here = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(total[here])], ["place", "weight"])
@@ -290,7 +341,7 @@ def chosen_spans(text: str, base: list[Span], model: PiiModel | None) -> list[Sp
     """The base spans and the proposed ones that the model selects: best first, none that touches a chosen one."""
     if model is None:
         return base
-    open_ = [c for c in open_candidates(text, base) if not harmless(c, text)]
+    open_ = open_candidates(text, base)
     if not open_:
         return base
     p = model.trees.probability(np.array([features(text, c) for c in open_], np.float64))

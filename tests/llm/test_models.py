@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from holdwise.llm.language import CrossParser, automaton, languages
 from holdwise.llm.neighbours import TABLES, PStable, nearest, unit
+from holdwise.llm import pii
 from holdwise.llm.pii import base_spans, personal_data, redact_personal_data, redacted
 from holdwise.llm.quality import quality
 from holdwise.llm.toxicity import drop_toxic, toxicity
@@ -270,3 +271,31 @@ def test_neighbours_are_the_best_of_all_probed_buckets(spark):
         seen[q] = False
         close = np.where(seen, u @ u[q], -2)
         assert seen.sum() < 5 or got[q] == np.argsort(-close, kind="stable")[:5].tolist()
+
+
+def unmarked_corpus():
+    rows = [(k, f"{prose(9, k)} mail joe.{k}@host{k % 7}.example.com or +1 (456) 555-{2100 + k}, 10.0.0.{k} {prose(3, k)} 4539148803436467 {prose(9, k)}") for k in range(120)]
+    rows += [(200 + k, f"{prose(9, k)} version 2024.10.{1000 + k} of 2024-10-{10 + k % 20} 12, token = \"ab{186661156 + k}f\" {prose(5, k)} {4539148803436460} ") for k in range(60)]
+    planted = ["(456) 555-7188", "jane.doe (at) host3.example (dot) com", "4539.1488.0343.6467", "10[.]0[.]0[.]77"]
+    alike = ["he scored 456 555 7188 points", "they serialised 20 30 40 50 60 units", "we meet at noon dot org", "see section 1 . 4 . 2 . 7 there"]
+    rows += [(300 + k, f"{prose(9, k)} {what} {prose(9, k)}") for k, what in enumerate(planted)]
+    return rows + [(400 + k, f"{prose(9, k)} {what} {prose(9, k)}") for k, what in enumerate(alike)], planted
+
+
+def test_trees_tell_personal_data_from_look_alikes(docs_of):
+    rows, planted = unmarked_corpus()
+    text = dict(rows)
+    out = {r.doc_id: [text[r.doc_id][s.start : s.end] for s in r.spans] for r in personal_data(docs_of(rows)).collect()}
+    assert [out[300 + k] for k in range(4)] == [[p] for p in planted]
+    assert [out[400 + k] for k in range(4)] == [[], [], [], []]
+
+
+def test_the_trees_decide(spark, docs_of, monkeypatch):
+    """With trees that find everything likely, look-alikes and failed checks would be taken."""
+    rows, _ = unmarked_corpus()
+    model = pii.learned(docs_of(rows), "doc_id", "text")
+    real = [pii.chosen_spans(t, pii.base_spans(t), model) for _, t in rows]
+    monkeypatch.setattr(model.trees, "probability", lambda x: np.ones(len(x)))
+    blind = [pii.chosen_spans(t, pii.base_spans(t), model) for _, t in rows]
+    more = [doc for (doc, _), a, b in zip(rows, real, blind, strict=True) if a != b]
+    assert {400, 401, 402}.issubset(more) and sum(200 <= d < 260 for d in more) == 60
