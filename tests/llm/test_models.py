@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from holdwise.llm.language import CrossParser, automaton, languages
 from holdwise.llm.neighbours import TABLES, PStable, nearest, unit
 from holdwise.llm import pii
+from holdwise.llm import quality as quality_module
 from holdwise.llm.pii import base_spans, personal_data, redact_personal_data, redacted
 from holdwise.llm.quality import quality
 from holdwise.llm.toxicity import drop_toxic, toxicity
@@ -299,3 +301,50 @@ def test_the_trees_decide(spark, docs_of, monkeypatch):
     blind = [pii.chosen_spans(t, pii.base_spans(t), model) for _, t in rows]
     more = [doc for (doc, _), a, b in zip(rows, real, blind, strict=True) if a != b]
     assert {400, 401, 402}.issubset(more) and sum(200 <= d < 260 for d in more) == 60
+
+
+def few_labels():
+    rnd = random.Random(9)
+    vocabulary = [prose(200, 90 + y).split() for y in (0, 1)]
+    common = prose(60, 3).split()
+    rows, truth = [], {}
+    for k in range(1500):
+        y = truth[k] = rnd.randint(0, 1)
+        own = [rnd.choice(vocabulary[y]) + "xy"[y] for _ in range(3)]
+        said = [*own, *[rnd.choice(common) for _ in range(25)]]
+        rnd.shuffle(said)
+        bars = (y == 0) != (rnd.random() < 0.05)  # the layout is right in 19 of 20
+        rows.append((k, (" | " if bars else " ").join(said), "en"))
+    return rows, truth
+
+
+def auc(rows, truth):
+    order = sorted(rows, key=lambda r: r.score)
+    place = [i for i, r in enumerate(order, 1) if truth[r.doc_id]]
+    n, m = len(place), len(rows) - len(place)
+    return (sum(place) - n * (n + 1) / 2) / (n * m)
+
+
+def test_the_exchange_helps_where_labels_are_few(spark, docs_of, monkeypatch):
+    rows, truth = few_labels()
+    labels = spark.createDataFrame([(k, truth[k]) for k in range(90)], "doc_id long, quality int")
+    docs = docs_of(rows)
+    found = {}
+    for rounds in (0, 3):
+        monkeypatch.setattr(quality_module, "ROUNDS", rounds)
+        out = quality(docs, labels, field_cols=()).collect()
+        found[rounds] = auc([r for r in out if r.doc_id >= 90], truth)
+    assert found[3] > found[0] + 0.01 and found[3] > 0.97, found
+
+
+def test_cuts_are_quantiles_of_all_rows(spark):
+    rnd = np.random.default_rng(6)
+    p = rnd.beta(0.8, 0.8, size=(5000, 2))
+    scored = spark.createDataFrame([(float(a), float(b)) for a, b in p], "by_text double, by_page double")
+    cut = quality_module.cuts(scored, 0.1)
+    for k, view in enumerate(("text", "page")):
+        for label in (0, 1):
+            sure = p[:, k] if label else 1 - p[:, k]
+            mine = np.sort(sure[sure >= 0.5])[::-1]
+            assert cut[view, label] == pytest.approx(max(0.9, mine[int(0.1 * len(mine))]), abs=0.006)
+            assert (mine >= cut[view, label]).sum() <= 0.12 * len(mine)
