@@ -119,5 +119,11 @@ def replace_partitions(df: DataFrame, name: str, partition_by: list[str], layer:
     if not spark.catalog.tableExists(qualified):
         return save_table(df, name, layer=layer, partition_by=partition_by, path=path)
     rows = df.select(*[f"`{c}`" for c in spark.table(qualified).columns])  # inserted by place
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(qualified)
+    mode = "spark.sql.sources.partitionOverwriteMode"  # insertInto takes it from the session alone
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(qualified)
+    finally:
+        spark.conf.set(mode, before)
     return f"{db}.{name}"
