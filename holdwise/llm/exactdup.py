@@ -68,7 +68,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, that ``exact_duplicates`` keeps.
 
-    Rows that repeat an id and a text but differ elsewhere count as copies; any one of them stays.
+    Rows that repeat an id and a text but differ elsewhere count as copies; any one of them stays. Null and empty
+    texts are one group; a row with a null id stays only where its group has no id. Of an empty table none stay.
     """
     marked = stored(exact_duplicates(df, id_col, text_col), "exact-marked")
     lost = marked.where("not kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), "keep_id")

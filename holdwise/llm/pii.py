@@ -437,7 +437,10 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def redact_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with the spans of ``personal_data`` replaced in ``text_col``; other columns and null texts stay as they are."""
+    """``df`` with the spans of ``personal_data`` replaced in ``text_col``; other columns and null texts stay as they are.
+
+    Every row is redacted by its own text, also repeated ones and those with a null id. Columns may have any name.
+    """
     model = learned(df, id_col, text_col)
     others = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
     out = _scan(df.select(others.alias("id"), F.col(text_col).alias("text")), model, redact=True)

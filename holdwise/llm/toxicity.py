@@ -320,7 +320,11 @@ def _scored(rows: DataFrame, model: ToxicModel | None) -> DataFrame:
 
 
 def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> DataFrame:
-    """The rows of ``df``, all columns, that ``toxicity`` does not reject."""
+    """The rows of ``df``, all columns, that ``toxicity`` does not reject.
+
+    Null and empty texts are scored as texts without words; rows that repeat, or have a null id, are judged each by
+    their text. Without labels of both kinds, and of an empty table, no row is rejected. Columns may have any name.
+    """
     model = learned(df, labels, id_col, text_col, lang_col, label_col)
     others = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
     clean = _scored(df.select(others.alias("id"), F.col(text_col).alias("text")), model).where(~rejected())

@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import re
 from collections import defaultdict
 
 import corpus_pipeline
@@ -9,6 +11,47 @@ from holdwise.llm.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
+def shingles(text):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return {tuple(found[k : k + 5]) for k in range(len(found) - 4)} if len(found) >= 5 else {tuple(found)} - {()}
+
+
+def brute_components(sets):
+    """Components of the links 100 * intersection >= 75 * union between the sets of all pairs."""
+    up = {d: d for d in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            x, y = sorted((top(a), top(b)))
+            up[y] = x
+    out = defaultdict(list)
+    for d in sets:
+        out[top(d)].append(d)
+    return list(out.values())
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, docs_of, odd_rows, tmp_path):
+    """Nulls, repeated rows, very long texts and clashing columns; then no rows at all."""
+    more = [(20 + k, f"{'clean words of number ' + str(k) + ' '}" * 4, "en") for k in range(8)]
+    docs = docs_of(odd_rows + more).withColumns({"source": F.lit(None).cast("string"), "n_chars": F.length("text").cast("long")})
+    for rows, name in ((docs, "odd"), (docs.limit(0), "none")):
+        folder = f"{tmp_path}/{name}"
+        rows.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        pieces = corpus_pipeline.run(spark, folder).collect()
+        kept = {r.doc_id for r in pieces}
+        if name == "none":
+            assert pieces == []
+        else:  # of the equal texts the largest id stays, and null with empty
+            assert {2, 4, 5, 7, 8, 9, *range(20, 28)} >= kept - {None, 3} and {4, 5, 7, 8, 9} <= kept
+            assert 1 not in kept and 6 not in kept and None in kept
+
+
 def test_stages_decide_as_their_operators_say(spark):
     docs = table(spark, SF, "documents")
     seen = {}
@@ -26,6 +69,11 @@ def test_stages_decide_as_their_operators_say(spark):
     for r in before.collect():
         groups[hashlib.sha256((r.text or "").encode()).digest()].append(r.doc_id)
     assert sorted(r.doc_id for r in after.collect()) == sorted(max(g) for g in groups.values())
+    before, after = seen["near_dedup"]
+    sets = {r.doc_id: shingles(r.text) for r in before.collect()}
+    left = {r.doc_id for r in after.collect()}
+    want = {min(c) for c in brute_components(sets)}
+    assert left == want and 0 < len(left) < len(sets)
     before, after = seen["pii"]
     text = {r.doc_id: r.text for r in before.collect()}
     for r in after.collect():
