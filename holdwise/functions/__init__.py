@@ -8,6 +8,7 @@ from holdwise.functions.columns import (
     round_half_away,
     sentinel_decimal,
     surrogate_key,
+    ticker_bucket,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "round_half_away",
     "sentinel_decimal",
     "surrogate_key",
+    "ticker_bucket",
 ]

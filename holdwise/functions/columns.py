@@ -74,3 +74,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+#: Partitions of the stored quotes.
+TICKER_BUCKETS = 64
+
+
+def ticker_bucket(ticker: str = "ticker") -> Column:
+    """The partition that holds a ticker's stored quotes (null for a null ticker)."""
+    return F.pmod(F.crc32(F.col(ticker).cast("binary")), F.lit(TICKER_BUCKETS)).cast("int")

@@ -37,9 +37,9 @@ from holdwise.operators.products import (
 )
 from holdwise.plans import adapters as A
 from holdwise.plans import landing
-from holdwise.sinks import drop_table, replace_partitions, save_table
-from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
-from holdwise.sources.files import RATE_TABLE, read_rate_table
+from holdwise.sinks import drop_table, replace_partitions, save_prices, save_table
+from holdwise.sources import read_holidays, read_price_table, read_prices, read_rate_series, read_statements, run_sql, table
+from holdwise.sources.files import PRICE_TABLE, RATE_TABLE, read_rate_table
 
 PRICE_WINDOW = (dt.date(1997, 1, 1), dt.date(2000, 1, 1))
 
@@ -90,6 +90,17 @@ def q_price_window_scan(spark, sf_dir):
     return read_prices(spark, A.raw_prices(spark, sf_dir), tickers, *PRICE_WINDOW)
 
 
+def q_price_table(spark, sf_dir):
+    """All quotes stored by ticker, then a window of those of interest read back from the buckets they are in."""
+    path = landing.scratch(spark, "price_table")
+    name = f"{PRICE_TABLE}_{path[-12:]}"
+    save_prices(written(A.raw_prices(spark, sf_dir), "quotes"), name, "raw", path=path)  # once: the ranges are found by a first pass
+    tickers = tickers_of_interest(A.raw_transactions(spark, sf_dir))
+    out = read_price_table(spark, tickers, *PRICE_WINDOW, name=name).checkpoint(eager=True)
+    drop_table(spark, name, "raw")
+    return out
+
+
 def q_split_factor(spark, sf_dir):
     return with_split_factor(A.raw_prices(spark, sf_dir))
 
@@ -250,6 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "holidays": q_holidays,
     "tickers_of_interest": q_tickers_of_interest,
     "price_window_scan": q_price_window_scan,
+    "price_table": q_price_table,
     "split_factor": q_split_factor,
     "staged_prices": q_staged_prices,
     "daily_close": q_daily_close,

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from holdwise.functions import ticker_bucket
 from holdwise.schemas import layer_of
 
 MODES = ("append", "fail", "replace")
@@ -127,3 +128,16 @@ def replace_partitions(df: DataFrame, name: str, partition_by: list[str], layer:
     finally:
         spark.conf.set(mode, before)
     return f"{db}.{name}"
+
+
+def save_prices(prices: DataFrame, name: str, layer: str | None = None, if_exists: str = "fail", path: str | None = None) -> str:
+    """Quotes stored by ``ticker_bucket``, each bucket sorted by ticker and day.
+
+    Rows are dealt by ranges of (bucket, ticker, day), so one ticker with a large share of them fills several tasks and
+    files, and a task writes into few partitions. Readers skip buckets of other tickers, and row groups of
+    other days by their statistics.
+    """
+    rows = prices.withColumn("ticker_bucket", ticker_bucket())
+    order = ["ticker_bucket", "ticker", "Date"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return save_table(rows, name, layer, if_exists, partition_by=["ticker_bucket"], path=path)

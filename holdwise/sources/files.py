@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdwise import schemas as S
-from holdwise.functions import parse_dmy
+from holdwise.functions import parse_dmy, ticker_bucket
 from holdwise.sources.catalog import table
 
 
@@ -221,9 +221,30 @@ def read_prices(
     left-semi join (Spark broadcasts it when its measured size allows).
     """
     df = prices if isinstance(prices, DataFrame) else spark.read.format(fmt).schema(S.PRICE_SCHEMA).load(prices)
-    start_ts = dt.datetime.combine(start, dt.time())
-    end_ts = dt.datetime.combine(end, dt.time())
-    window = df.where((F.col("Date") >= F.lit(start_ts)) & (F.col("Date") < F.lit(end_ts)))
+    window = df.where(_in_window(start, end))
     if tickers is None:
         return window
     return window.join(tickers.select("ticker"), "ticker", "left_semi")
+
+
+def _in_window(start: dt.date, end: dt.date) -> Column:
+    start_ts, end_ts = dt.datetime.combine(start, dt.time()), dt.datetime.combine(end, dt.time())
+    return (F.col("Date") >= F.lit(start_ts)) & (F.col("Date") < F.lit(end_ts))
+
+
+#: One table of all quotes, partitioned by ``ticker_bucket``.
+PRICE_TABLE = "stock_prices"
+
+
+def read_price_table(spark: SparkSession, tickers: DataFrame | None, start: dt.date, end: dt.date, name: str = PRICE_TABLE, layer: str = "raw") -> DataFrame:
+    """S4 + S7: stored quotes (:func:`holdwise.sinks.save_prices`) of the tickers in [start, end).
+
+    The semi-join is on the bucket and the ticker, so that where Spark broadcasts the ticker set it prunes the
+    files while the query runs; a larger set is joined as any other. Null tickers match nothing.
+    """
+    window = table(spark, name, layer).where(_in_window(start, end))
+    if tickers is not None:
+        # the comparison is always true; Spark prunes at run time only by a side that has a filter of its own
+        wanted = tickers.select("ticker", ticker_bucket().alias("ticker_bucket")).where(F.col("ticker_bucket") >= 0)
+        window = window.join(wanted, ["ticker_bucket", "ticker"], "left_semi")
+    return window.drop("ticker_bucket")

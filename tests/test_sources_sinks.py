@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from holdwise import schemas as S
 from holdwise.plans.registry import QUERIES
-from holdwise.sinks import drop_table, materialize, replace_partitions, save_table, tables
-from holdwise.sources import read_holidays, read_prices, read_rate_series, read_statements, run_sql, table
+from holdwise.sinks import drop_table, materialize, replace_partitions, save_prices, save_table, tables
+from holdwise.sources import read_holidays, read_price_table, read_prices, read_rate_series, read_statements, run_sql, table
 from holdwise.sources import files
 from holdwise.sources.files import rate_table_name
 
@@ -65,6 +65,51 @@ def test_read_prices_window_and_tickers(spark):
     assert [(r["ticker"], r["Date"].day) for r in got] == [("A", 2)]  # end is exclusive
 
 
+def _scanned(df):
+    """Rows that the file scans of a collected query put out."""
+    df.collect()
+    total, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind == "FileSourceScanExec":
+            total += plan.metrics().apply("numOutputRows").value()
+        else:
+            children = plan.children()
+            plans += [children.apply(k) for k in range(children.size())]
+    return total
+
+
+def test_stored_quotes_are_pruned_by_the_tickers(spark):
+    import datetime as dt
+
+    names = [f"T{k:03d}" for k in range(200)]
+    rows = [(dt.datetime(2020, 1, d), 1.0, 1.0, 1.0, 1.0, 1.0, 1, 0.0, 0.0, t) for d in range(1, 11) for t in [*names, None, "hot"]]
+    rows += [(dt.datetime(2021, 1, 1) + dt.timedelta(d), 2.0, 2.0, 2.0, 2.0, 2.0, 2, 0.0, 0.0, "hot") for d in range(1000)]
+    prices = spark.createDataFrame(rows, S.PRICE_SCHEMA)
+    save_prices(prices, "prices_test", "raw", path=tempfile.mkdtemp(prefix="run-"))
+    span = dt.date(2020, 1, 3), dt.date(2020, 1, 6)
+    scanned = []
+    for few in (["T007"], names[:20], names):
+        path = tempfile.mkdtemp(prefix="run-") + "/tickers"
+        spark.createDataFrame([(t,) for t in [*few, None, "absent"]], "ticker string").write.parquet(path)
+        tickers = spark.read.parquet(path)
+        got = read_price_table(spark, tickers, *span, name="prices_test")
+        want = read_prices(spark, prices, tickers, *span)
+        assert sorted(got.columns) == sorted(want.columns)
+        assert sorted(tuple(r) for r in got.select(*want.columns).collect()) == sorted(tuple(r) for r in want.collect())
+        assert len(got.collect()) == 3 * len(few)
+        scanned.append(_scanned(got))
+    assert scanned[0] < scanned[1] < scanned[2]
+    assert scanned[0] < scanned[2] / 10
+    assert read_price_table(spark, None, *span, name="prices_test").count() == 3 * 202
+    drop_table(spark, "prices_test", "raw")
+
+
 def test_save_modes(spark):
     d = tempfile.mkdtemp(prefix="run-")
     df = spark.range(3).withColumn("x", F.col("id") * 2)
