@@ -11,6 +11,7 @@ meet them there as matrices, so that no pair becomes a row; a cell returns each
 from __future__ import annotations
 
 import heapq
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,11 +21,30 @@ from pyspark.sql import functions as F
 
 from holdwise.llm.common import bounded_batches, stored
 
-TABLES, HASHES, WIDTH, PROBES = 5, 8, 2.0, 500
 #: Vectors, and queries, that meet in one cell.
 CELL = 4096
 
 
+@dataclass(frozen=True)
+class Probing:
+    """How much the search visits.
+
+    ``tables`` tables of keys of ``hashes`` projections, rounded to multiples of ``width`` (vectors have length 1), and
+    ``probes`` perturbed buckets a query and table. More hashes, or a smaller width, make smaller buckets, so a query visits
+    a smaller share of the rows; more tables and probes find more of the nearest. The defaults suit vectors without
+    clusters, of which a query must visit most; where vectors are clustered, longer keys find the same with a small share
+    (measured by :func:`visited`).
+    """
+
+    tables: int = 5
+    hashes: int = 8
+    width: float = 2.0
+    probes: int = 500
+
+
+DEFAULT = Probing()
+
+
 def valid_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) of the rows that take part: a vector of finite numbers that are not all zero."""
     v = F.col(vector_col)
@@ -50,15 +70,16 @@ def unit(rows: np.ndarray) -> np.ndarray:
 class PStable:
     """Keys of the buckets of unit vectors of one dimension, and the buckets a query visits."""
 
-    def __init__(self, dim: int, table: int):
+    def __init__(self, dim: int, table: int, probing: Probing = DEFAULT):
         rng = np.random.default_rng([8, dim, table])
-        self.direction = rng.normal(size=(dim, HASHES))
-        self.shift = rng.random(HASHES) * WIDTH
-        self.mult = rng.integers(1, 2**62, HASHES, dtype=np.int64) | 1
+        self.hashes, self.width, self.most = probing.hashes, probing.width, probing.probes
+        self.direction = rng.normal(size=(dim, self.hashes))
+        self.shift = rng.random(self.hashes) * self.width
+        self.mult = rng.integers(1, 2**62, self.hashes, dtype=np.int64) | 1
         self.salt = int(rng.integers(0, 2**62))
 
     def places(self, x: np.ndarray) -> np.ndarray:
-        return (x @ self.direction + self.shift) / WIDTH
+        return (x @ self.direction + self.shift) / self.width
 
     def keys(self, cells: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -70,11 +91,11 @@ class PStable:
         down = place - home
         cost = np.concatenate([down**2, (1 - down) ** 2])
         order = np.argsort(cost, kind="stable")
-        step = [(int(k) % HASHES, -1 if k < HASHES else 1) for k in order]
+        step = [(int(k) % self.hashes, -1 if k < self.hashes else 1) for k in order]
         cost = cost[order].tolist()
         out = [home]
         heap = [(cost[0], (0,))]
-        while heap and len(out) <= PROBES:
+        while heap and len(out) <= self.most:
             total, chosen = heapq.heappop(heap)
             last = chosen[-1]
             if last + 1 < len(cost):
@@ -88,8 +109,8 @@ class PStable:
         return self.keys(np.array(out))
 
 
-def hashed(rows: DataFrame, probing: bool) -> DataFrame:
-    """(node, key) per table: the key of each vector's bucket or, ``probing``, of all buckets it visits."""
+def hashed(rows: DataFrame, visits: bool, probing: Probing) -> DataFrame:
+    """(node, key) per table: the key of each vector's bucket or, with ``visits``, of all buckets it visits."""
 
     def task(batches):
         hashing: dict[tuple[int, int], PStable] = {}
@@ -102,10 +123,10 @@ def hashed(rows: DataFrame, probing: bool) -> DataFrame:
                 mine = np.flatnonzero(dims == dim)
                 x = unit(np.stack([flat[start[k] : start[k] + dim] for k in mine]))
                 node = batch.column(0).take(pa.array(mine))
-                for t in range(TABLES):
-                    h = hashing.setdefault((dim, t), PStable(dim, t))
+                for t in range(probing.tables):
+                    h = hashing.setdefault((dim, t), PStable(dim, t, probing))
                     place = h.places(x)
-                    if not probing:
+                    if not visits:
                         yield pa.RecordBatch.from_arrays([node, pa.array(h.keys(np.floor(place)))], ["node", "key"])
                         continue
                     keys = [h.probes(p) for p in place]
@@ -148,18 +169,18 @@ def cosine(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return (rows * x).sum(axis=1) / (np.sqrt((x * x).sum()) * np.sqrt((rows * rows).sum(axis=1)))
 
 
-def search(queries: DataFrame, classes: DataFrame, most: int, n_rows: int) -> DataFrame:
+def search(queries: DataFrame, classes: DataFrame, most: int, n_rows: int, probing: Probing) -> DataFrame:
     """(query, node, score): the best classes that the probed buckets hold."""
-    index = hashed(classes, probing=False)
+    index = hashed(classes, False, probing)
     size = index.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     size = stored(size.select("key", F.ceil(F.col("size") / CELL).alias("parts")), "ann-buckets")
-    cells = max(1, -(-n_rows * TABLES // CELL))
+    cells = max(1, -(-n_rows * probing.tables // CELL))
 
     def cell(part):  # a bucket of more than CELL vectors has several parts
         return F.pmod(F.xxhash64("key", part), F.lit(cells))
 
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
-    visits = hashed(queries, probing=True).join(size, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    visits = hashed(queries, True, probing).join(size, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     visits = stored(visits.groupBy(cell(F.col("part")).alias("cell"), "node").agg(F.collect_set("key").alias("keys")), "ann-visits")
     # a cell meets the queries that visit it, in blocks of about CELL
     blocks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
@@ -172,15 +193,21 @@ def search(queries: DataFrame, classes: DataFrame, most: int, n_rows: int) -> Da
     return found.groupBy("query", "node").agg(F.max("score").alias("score"))
 
 
-def scan(queries: DataFrame, classes: DataFrame, most: int, n_rows: int, n_queries: int) -> DataFrame:
-    """The same by comparing the queries with all classes, block by block."""
-    cells, blocks = max(1, -(-n_rows // CELL)), max(1, -(-n_queries // CELL))
-    rows = classes.select("node", "vector", F.pmod(F.xxhash64("node"), F.lit(cells)).cast("int").alias("cell"))
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = queries.select("node", "vector", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block"))
-    asked = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+def scan(queries: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """The same by comparing the queries with all classes of their length, block by block."""
+    n_queries = queries.groupBy(F.size("vector").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
+    n_rows = classes.groupBy(F.size("vector").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells"))
+    plan = stored(n_queries.join(n_rows, "dim"), "ann-scan")  # a row per length
+
+    def dealt(df: DataFrame, own: str, other: str, c: str, d: str) -> DataFrame:
+        """Each row's own place by its hash, once for every place of the other side."""
+        rows = df.select("node", "vector", F.size("vector").alias("dim")).join(plan, "dim")
+        rows = rows.withColumn(c, F.pmod(F.xxhash64("node"), F.col(own))).withColumn(d, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        return rows.select("dim", "cell", "block", "node", "vector")
+
+    asked, rows = dealt(queries, "blocks", "cells", "block", "cell"), dealt(classes, "cells", "blocks", "cell", "block")
     kind = dict(classes.dtypes)["node"]
-    pair = asked.groupBy("cell", "block").cogroup(rows.groupBy("cell", "block"))
+    pair = asked.groupBy("dim", "cell", "block").cogroup(rows.groupBy("dim", "cell", "block"))
     return pair.applyInPandas(lambda q, r: best_in_cell(q, r, most, False), f"query {kind}, node {kind}, score double")
 
 
@@ -196,13 +223,14 @@ def ranked(found: DataFrame, classes: DataFrame, asked: DataFrame, top: int) ->
     return mine.select("query_id", F.posexplode("near").alias("at", "x")).select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias("id"), F.col("x.score").alias("score"))
 
 
-def nearest(df: DataFrame, query_filter, top: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(df: DataFrame, query_filter, top: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", probing: Probing = DEFAULT) -> DataFrame:
     """The ``top`` nearest rows by cosine of every row that ``query_filter`` (a condition on ``id``) selects.
 
     Returns ``query_id``, ``rank`` (from 1), ``id_col`` and ``score``, nearest first, ties to the smaller id; the row
     itself is no candidate. Null, empty and zero vectors and those with null or non-finite components take no part,
     nor do null ids; vectors of different lengths are not compared. Rows that repeat an id and a vector count once.
-    A query whose buckets hold fewer than ``top`` others is compared with all rows. An empty table gives no rows.
+    A query whose buckets hold fewer than ``top`` others is compared with all rows of its length. An empty table gives
+    no rows. ``probing`` sets how much is visited.
     Other columns are not read and may have any name.
     """
     vectors = stored(valid_vectors(df, id_col, vector_col), "ann-vectors")
@@ -211,12 +239,29 @@ def nearest(df: DataFrame, query_filter, top: int = 5, id_col: str = "vec_id", v
     asked = vectors.where(query_filter).select(F.col("id").alias("query_id"), "vector")
     asked = stored(asked.join(classes.select("node", "vector"), "vector").select("query_id", "node"), "ann-asked")
     queries = classes.join(asked.select("node").distinct(), "node", "left_semi").select("node", "vector")
-    found = stored(search(queries, classes, top + 1, n_rows), "ann-found")
+    found = stored(search(queries, classes, top + 1, n_rows, probing), "ann-found")
     members = classes.select("node", F.size("ids").alias("n"))
     enough = found.join(members, "node").groupBy("query").agg(F.sum("n").alias("n")).where(F.col("n") > top)
     short = stored(queries.join(enough, queries["node"] == enough["query"], "left_anti"), "ann-short")
-    n_short = short.count()
-    if n_short:
-        rest = scan(short, classes, top + 1, n_rows, n_short)
+    if not short.isEmpty():
+        rest = scan(short, classes, top + 1)
         found = found.join(short, found["query"] == short["node"], "left_anti").union(rest)
     return ranked(found, classes, asked, top).withColumnRenamed("id", id_col)
+
+
+def visited(df: DataFrame, query_filter, id_col: str = "vec_id", vector_col: str = "embedding", probing: Probing = DEFAULT) -> DataFrame:
+    """One row for choosing ``probing``: ``queries``, ``classes``, and ``visits``, the rows of all tables that the queries'
+    buckets hold (a class counts once a table). ``visits / (queries * classes)`` bounds the share of comparisons from
+    above; nothing is compared. Rows as in :func:`nearest`; an empty table gives zeros and null visits.
+    """
+    vectors = stored(valid_vectors(df, id_col, vector_col), "ann-vectors")
+    classes = stored(classes_of(vectors, 1), "ann-classes")
+    asked = vectors.where(query_filter).select("vector").distinct()
+    queries = classes.join(asked, "vector", "left_semi")
+    size = hashed(classes, False, probing).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    asks = hashed(queries, True, probing).groupBy("key").agg(F.count(F.lit(1)).alias("asks"))
+    visits = size.join(asks, "key").agg(F.sum(F.col("rows") * F.col("asks")).alias("visits"))
+    n = F.count(F.lit(1))
+    counts = [queries.agg(n.alias("queries")), classes.agg(n.alias("classes")), visits]
+    rows = [c.select(*[F.col(x) if x in c.columns else F.lit(None).cast("long").alias(x) for x in ("queries", "classes", "visits")]) for c in counts]
+    return rows[0].union(rows[1]).union(rows[2]).agg(*[F.max(x).alias(x) for x in ("queries", "classes", "visits")])

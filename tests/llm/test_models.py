@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdwise.llm.language import CrossParser, automaton, languages
-from holdwise.llm.neighbours import TABLES, PStable, nearest, unit
+from holdwise.llm.neighbours import DEFAULT, Probing, PStable, nearest, unit, visited
 from holdwise.llm import pii
 from holdwise.llm import quality as quality_module
 from holdwise.llm.pii import base_spans, personal_data, redact_personal_data, redacted
@@ -267,7 +267,7 @@ def test_neighbours_are_the_best_of_all_probed_buckets(spark):
     u = unit(x)
     for q in range(0, 900, 20):
         seen = np.zeros(900, bool)
-        for t in range(TABLES):
+        for t in range(DEFAULT.tables):
             h = PStable(32, t)
             seen |= np.isin(h.keys(np.floor(h.places(u))), h.probes(h.places(u[q : q + 1])[0]))
         seen[q] = False
@@ -275,6 +275,39 @@ def test_neighbours_are_the_best_of_all_probed_buckets(spark):
         assert seen.sum() < 5 or got[q] == np.argsort(-close, kind="stable")[:5].tolist()
 
 
+def test_longer_keys_find_clustered_neighbours_with_a_small_share(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 32))[rng.integers(0, 50, 2000)] + 0.3 * rng.normal(size=(2000, 32))
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    few, chosen = F.col("id") % 20 == 0, Probing(tables=6, hashes=12, width=1.0, probes=150)
+    got = {}
+    for r in nearest(table, few, probing=chosen).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_nearest(list(enumerate(x)), [(k, x[k]) for k in range(0, 2000, 20)], 5)
+    assert np.mean([len(got[q] & {i for _, i in want[q]}) / 5 for q in want]) >= 0.9
+    u, total = unit(x), 0
+    for t in range(chosen.tables):
+        h = PStable(32, t, chosen)
+        keys = h.keys(np.floor(h.places(u)))
+        total += sum(np.isin(keys, h.probes(p)).sum() for p in h.places(u[::20]))
+    row = visited(table, few, probing=chosen).first()
+    assert (row.queries, row.classes, row.visits) == (100, 2000, total)
+    assert row.visits / (row.queries * row.classes) < 0.1
+    empty = visited(table.limit(0), few).first()
+    assert (empty.queries, empty.classes, empty.visits) == (0, 0, None)
+
+
+def test_short_queries_meet_rows_of_their_length(spark, monkeypatch):
+    monkeypatch.setattr("holdwise.llm.neighbours.CELL", 4)
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=2 + k % 3).tolist()) for k in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(table, F.col("id") % 2 == 0, top=30, probing=Probing(1, 2, 4.0, 0)).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for _, i in near] for q, near in brute_nearest(rows, [r for r in rows if r[0] % 2 == 0], 30).items()}
+
+
 def unmarked_corpus():
     rows = [(k, f"{prose(9, k)} mail joe.{k}@host{k % 7}.example.com or +1 (456) 555-{2100 + k}, 10.0.0.{k} {prose(3, k)} 4539148803436467 {prose(9, k)}") for k in range(120)]
     rows += [(200 + k, f"{prose(9, k)} version 2024.10.{1000 + k} of 2024-10-{10 + k % 20} 12, token = \"ab{186661156 + k}f\" {prose(5, k)} {4539148803436460} ") for k in range(60)]
