@@ -13,6 +13,8 @@ rows a pair at similarity 0.75 shares no bucket with a probability of about one
 from __future__ import annotations
 
 import hashlib
+import re
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -22,15 +24,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdwise.llm.common import ByteKeys, blocks, bounded_batches, may_contain, membership_bits, mix, stored, text_buffer, words
-from holdwise.llm.components import components
+from holdwise.llm.components import components, looked_up
 
 BANDS, ROWS = 51, 5
 SHINGLE = 5
 #: Links: PERCENT * union <= 100 * intersection.
 PERCENT = 75
+#: Sets of fewer shingles link with equal sets only: with n of n + 1 in common, 100 * n >= PERCENT * (n + 1).
+LEAST = -(-PERCENT // (100 - PERCENT))
 BLOCK_BYTES = 1_500_000
 #: Shingles, and documents, of one side of a block.
 BLOCK_SHINGLES, BLOCK_DOCS = 400_000, 512
+#: Edges of a star's centre, and cells of a row, that one copy of its set serves.
+EDGES_A_COPY, CELLS_A_COPY = 256, 32
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 class Shingles:
@@ -101,8 +108,16 @@ class OnePermutation:
         return out.astype(np.int64)
 
 
-def set_key(hashes: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_key(hashes: np.ndarray, text: bytes, size: int = SHINGLE) -> bytes | None:
+    """128 bits that name a set (null: the empty one); a set of one shingle is named by its words, not by their hash."""
+    if len(hashes) == 0:
+        return None
+    content = hashes.tobytes() if len(hashes) > 1 else b" ".join(m.group() for m in islice(WORD.finditer(text.lower()), size))
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
+def set_keys(sets: list[np.ndarray], data: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
+    return [set_key(s, data[i:j].tobytes() if len(s) == 1 else b"") for s, i, j in zip(sets, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
 def list_rows(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -111,9 +126,9 @@ def list_rows(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, n, node, bands) per row: set size, key of the set and band keys (node null, no bands for empty sets)."""
+    """(id, text_hash, n, node, bands) per row: set size, key of the set (null: empty) and band keys (sets of ``LEAST`` or more)."""
     schema = T.StructType([
-        T.StructField("id", df.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("id", df.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
     ])
 
     def task(batches):
@@ -121,11 +136,12 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
             for i, j in blocks(offsets, BLOCK_BYTES):
-                sets = shingles.sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                full = [s for s in sets if len(s)]
+                part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                sets = shingles.sets(part, at)
+                full = [s for s in sets if len(s) >= LEAST]
                 keys = hashing.band_keys(full) if full else np.zeros((0, BANDS), np.int64)
-                counts = np.array([BANDS if len(s) else 0 for s in sets])
-                nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+                counts = np.array([BANDS if len(s) >= LEAST else 0 for s in sets])
+                nodes = pa.array(set_keys(sets, part, at), pa.binary())
                 n = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(2)[i:j], n, nodes, list_rows(keys.ravel(), counts)], schema.fieldNames())
 
@@ -134,7 +150,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, bits: bytes) -> DataFrame:
     """(node, hashes) of the rows whose id may be in the filter ``bits``."""
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
 
     def task(batches):
         shingles, known = Shingles(), np.frombuffer(bits, np.uint8)
@@ -142,9 +158,9 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, bits: bytes) -> Data
             batch = batch.filter(pa.array(may_contain(known, batch.column(0).to_numpy())))
             data, offsets = text_buffer(batch.column(1))
             for i, j in blocks(offsets, BLOCK_BYTES):
-                sets = [s for s in shingles.sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) if len(s)]
+                sets = [s for s in shingles.sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) if len(s) >= max(2, LEAST)]
                 if sets:
-                    nodes = pa.array([set_key(s) for s in sets], pa.int64())
+                    nodes = pa.array([set_key(s, b"") for s in sets], pa.binary())
                     yield pa.RecordBatch.from_arrays([nodes, list_rows(np.concatenate(sets), np.array([len(s) for s in sets]))], schema.fieldNames())
 
     return bounded_batches(df).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(task, schema)
@@ -164,7 +180,7 @@ def exploded(classes: DataFrame, bits: bytes) -> DataFrame:
             row = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), batch.column(0).take(row), batch.column(1).take(row)], ["key", "node", "n"])
 
-    return classes.select("node", "n", "bands").mapInArrow(task, "key long, node long, n long")
+    return classes.where(F.col("n") >= LEAST).select("node", "n", "bands").mapInArrow(task, "key long, node binary, n long")
 
 
 def linked(common: Column, n: Column, m: Column) -> Column:
@@ -177,11 +193,14 @@ def sizes_allow(n: Column, m: Column) -> Column:
 
 
 def confirmed(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``edges`` (a, b) whose full sets are similar enough."""
-    a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a"))
+    """Those of ``edges`` (a, b, part) whose full sets are similar enough.
+
+    ``part`` divides the edges of an ``a`` with many of them; its set is copied once for each part.
+    """
+    a = edges.select("a", "part").distinct().join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a")), "a")
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
-    both = edges.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), F.size("set_a").alias("n"), F.size("set_b").alias("m"))
+    both = edges.join(a, ["a", "part"]).join(b, "b").select("a", "b", common.alias("common"), F.size("set_a").alias("n"), F.size("set_b").alias("m"))
     return both.where(linked(F.col("common"), F.col("n"), F.col("m"))).select("a", "b")
 
 
@@ -235,9 +254,10 @@ def rest_links(members: DataFrame, centers: DataFrame, labels: DataFrame, sets:
     """
     label = labels.withColumnRenamed("label", "comp")
     home = centers.join(label.withColumnRenamed("node", "center"), "center", "left").select("key", F.coalesce("comp", "center").alias("home"))
-    at = members.join(label, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp")).join(home, "key")
-    open_keys = at.where("comp != home").select("key").distinct()
-    rows = at.join(open_keys, "key", "left_semi").select("home", "node", "n", "comp").distinct()
+    at = members.join(label, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    at = stored(looked_up(at, home, "key"), "near-homes")
+    open_keys = at.where("comp != home").select("key").distinct().withColumn("open", F.lit(True))
+    rows = looked_up(at, open_keys, "key").where("open").select("home", "node", "n", "comp").distinct()
     rows = stored(rows.withColumn("outer", F.col("comp") != F.col("home")), "near-rest")
     weight = F.greatest("n", F.lit(BLOCK_SHINGLES // BLOCK_DOCS))
 
@@ -254,7 +274,10 @@ def rest_links(members: DataFrame, centers: DataFrame, labels: DataFrame, sets:
 
     own = pairs("o", "outer", "least(c, chunk)", "greatest(c, chunk)")
     cells = F.when(F.col("outer"), F.array_union(own, pairs("m", "inner", "chunk", "c"))).otherwise(pairs("o", "inner", "c", "chunk"))
-    placed = rows.join(count, "home").withColumn("chunk", chunk).withColumn("cell", F.explode(cells)).select("home", "node", "comp", "outer", "chunk", "cell.kind", "cell.i", "cell.j")
+    placed = looked_up(rows, count, "home").withColumn("chunk", chunk).select("home", "node", "comp", "outer", "chunk", F.posexplode(cells).alias("at", "cell"))
+    placed = placed.withColumn("part", F.floor(F.col("at") / CELLS_A_COPY)).select("home", "node", "comp", "outer", "chunk", "part", "cell.kind", "cell.i", "cell.j")
+    placed = stored(placed, "near-cells")
+    copies = placed.select("node", "part").distinct().join(sets, "node")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes = [np.asarray(x) for x in pdf["hashes"]]
@@ -263,10 +286,10 @@ def rest_links(members: DataFrame, centers: DataFrame, labels: DataFrame, sets:
         left = np.flatnonzero(outer & (chunk == i))
         right = np.flatnonzero(~outer if kind == "inner" else outer & (chunk == j))
         node = pdf["node"].to_numpy()
-        found = block_links(hashes, left, right, pdf["comp"].to_numpy()) if len(left) and len(right) else []
-        return pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]}, dtype="int64")
+        found = block_links(hashes, left, right, pd.factorize(pdf["comp"])[0]) if len(left) and len(right) else []
+        return pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]}, dtype=object)
 
-    return placed.join(sets, "node").groupBy("home", "kind", "i", "j").applyInPandas(compare, "a long, b long")
+    return placed.join(copies, ["node", "part"]).groupBy("home", "kind", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,7 +298,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Returns a row per input row: ``id_col``, ``n_shingles``, ``component_id`` (the smallest id that links reach, the
     row's own included), ``kept`` (id = component_id), ``component_key`` (null: no words) and ``text_hash``. Words are runs without ASCII white space, A-Z in lower
     case. A text of 1 to 4 words has one shingle; null texts and texts without words have none, are linked with
-    nothing and kept. Equal sets are one node, so copies cost no pairs. Repeated rows give repeated rows. Null ids
+    nothing and kept. Equal sets are one node (named by 128 bits), so copies cost no pairs. Repeated rows give repeated rows. Null ids
     never become a component_id; a row with a null id is kept only if its component has no other id. An empty
     table gives no rows. Other columns are not read and may have any name.
     """
@@ -288,11 +311,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = stored(members, "near-members")  # key, node, n, size
     central = members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("weight"))
     members = members.join(central, "node").drop("size")
-    best = F.max(F.struct("weight", (-F.col("node")).alias("tie"), "node", "n"))
-    centers = stored(members.groupBy("key").agg(best.alias("c")).select("key", F.col("c.node").alias("center"), F.col("c.n").alias("center_n")), "near-centers")
+    best = members.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("c"), F.count(F.lit(1)).alias("size"))
+    centers = stored(best.select("key", F.col("c.node").alias("center"), F.col("c.n").alias("center_n"), F.ceil(F.col("size") / EDGES_A_COPY).alias("parts")), "near-centers")
     members = stored(members.drop("weight"), "near-weighed")
-    star = members.join(centers, "key").where(F.col("node") != F.col("center")).where(sizes_allow(F.col("n"), F.col("center_n")))
-    star = stored(star.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "near-star")
+    star = looked_up(members, centers, "key").where(F.col("node") != F.col("center")).where(sizes_allow(F.col("n"), F.col("center_n")))
+    star = star.groupBy(F.col("center").alias("a"), F.col("node").alias("b")).agg(F.max("parts").alias("parts"))
+    star = stored(star.select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")), "near-star")
 
     wanted = members.select("node").distinct()
     ids = classes.join(wanted, "node", "left_semi").select(F.xxhash64("id").alias("h"))

@@ -6,9 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from holdwise.llm.components import components
+from holdwise.llm.components import components, looked_up
 from holdwise.llm.exactdup import drop_exact_duplicates, exact_duplicates
-from holdwise.llm.neardup import OnePermutation, Shingles, block_links, drop_near_duplicates, near_duplicates
+from holdwise.llm.neardup import LEAST, PERCENT, OnePermutation, Shingles, block_links, drop_near_duplicates, near_duplicates, set_key
 from holdwise.llm.sharding import Tree, balanced_bins, best_fit_decreasing, shards
 from tests.llm.conftest import prose
 
@@ -170,3 +170,27 @@ def test_shards_hold_whole_groups_and_gapless_slots(docs_of, odd_rows):
     assert len(out) == len(rows) - 1
     assert len(shards(docs_of(rows), 4).collect()) == len(rows)
     assert shards(docs_of([]), 4).count() == 0
+
+
+def test_keys_of_sets_do_not_rest_on_one_hash():
+    one, two = np.array([7], np.uint64), np.array([7, 9], np.uint64)
+    assert set_key(one, b"A b\tc") == set_key(one, b" a  B c ") != set_key(one, b"a b d")
+    assert set_key(one, b"x x x x x") == set_key(one, b"x x x x x x x") != set_key(one, b"x x x x")
+    assert len(set_key(two, b"")) == 16 and set_key(two, b"") != set_key(two[:1], b"a") and set_key(two[:0], b"") is None
+    assert 100 * LEAST >= PERCENT * (LEAST + 1) and 100 * (LEAST - 1) < PERCENT * LEAST
+
+
+def test_a_hot_key_is_looked_up_by_many_tasks(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("key"))
+    table = spark.createDataFrame([(-1, "hot"), *[(3 * k, f"v{k}") for k in range(5000)]], "key long, value string")
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for c, v in zip(keep, ("-1", "false", "64"), strict=True):
+            spark.conf.set(c, v)
+        out = looked_up(rows, table, "key").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+    assert sorted((r.id, r.key, r.value) for r in out if r.value is not None) == sorted((k, -1, "hot") if k % 3 else (k, k, f"v{k // 3}") for k in range(20_000) if k % 3 or k < 15_000)
+    assert len(out) == 20_000
+    assert max(Counter(r.task for r in out if r.key == -1).values()) < 13_333 / 8
