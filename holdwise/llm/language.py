@@ -7,7 +7,9 @@ with the fewest bits per character wins. All segments of a block walk all automa
 
 from __future__ import annotations
 
+import random
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,17 +24,16 @@ from holdwise.llm.common import blocks, bounded_batches, held_out, text_buffer
 SAMPLE_DOC_CHARS, SAMPLE_CHARS = 500, 32_000
 #: Places of texts are counted in so many bins per power of two.
 PLACE_BINS = 8
-#: Letters with a symbol of their own; rarer ones share ``SHARED`` symbols. Symbol 0 is any run of other characters.
-OWN, SHARED = 52, 11
-SYMBOLS = 1 + OWN + SHARED
+#: Languages that are learned: those with the most text, by the characters that their distinct texts may give the sample.
+LANGUAGES = 256
 #: Long texts are parsed in segments of so many symbols; their phrases add up.
 SEGMENT = 512
 BLOCK_BYTES = 1_500_000
 UNKNOWN = "und"
 
 
-def automaton(symbols: list[int]) -> np.ndarray:
-    """Transitions (state x symbol, -1: none) of the suffix automaton of ``symbols``; state 0 is the root."""
+def suffix_edges(symbols: list[int]) -> list[dict[int, int]]:
+    """Edges (symbol to state) of each state of the suffix automaton of ``symbols``; state 0 is the root."""
     step: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -59,52 +60,98 @@ def automaton(symbols: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    out = np.full((len(step), SYMBOLS), -1, np.int32)
-    for state, edges in enumerate(step):
-        for c, to in edges.items():
-            out[state, c] = to
-    return out
+    return step
+
+
+class Transitions:
+    """Targets of (state, symbol) in one table whose size follows the number of edges, whatever the alphabet.
+
+    A state's edges lie at a place of its own plus their symbol, and this place is the state's name from here on. Places
+    are drawn until the edges meet free cells only, states with the most edges first; a cell holds the name of its state, so
+    other states see that it is not theirs. The first state is named 0; states without edges share the name ``none``.
+    Symbols are below ``width``.
+    """
+
+    def __init__(self, edges: list[dict[int, int]], width: int):
+        bits = (3 * sum(map(len, edges))).bit_length()
+        self.none = (1 << bits) + width
+        self.name = np.full(len(edges), self.none, np.int32)
+        used, names, rnd = bytearray(self.none), set(), random.Random(5)
+        for state in sorted(range(len(edges)), key=lambda k: (k > 0, -len(edges[k]))):
+            row = edges[state]
+            if state and not row:
+                break
+            place = rnd.getrandbits(bits) if state else 0
+            while place in names or any(used[place + c] for c in row):
+                place = rnd.getrandbits(bits)
+            names.add(place)
+            self.name[state] = place
+            for c in row:
+                used[place + c] = 1
+        owner = np.repeat(self.name, [len(row) for row in edges])
+        cells = owner + np.array([c for row in edges for c in row], np.int32)
+        self.cells = np.full((self.none + width, 2), -1, np.int32)  # a state and its target
+        self.cells[cells, 0] = owner
+        self.cells[cells, 1] = self.name[np.array([to for row in edges for to in row.values()], np.int32)]
+        self.both = self.cells.view(np.int64).ravel()
+
+    def __getitem__(self, key):
+        """The target of a state and a symbol, -1 where there is no edge."""
+        owner, target = self.cells[sum(key)]
+        return target if owner == key[0] else -1
+
+    def follow(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each row of states goes with the symbols, and where it has no such edge."""
+        cell = self.both.take(state + symbol).view(np.int32)  # one access a state, as most miss the processor's cache
+        return cell[:, 1::2], cell[:, ::2] != state
+
+
+def automaton(symbols: list[int]) -> Transitions:
+    """Transitions of the suffix automaton of ``symbols``; state 0 is the root."""
+    return Transitions(suffix_edges(symbols), 1 + max(symbols, default=0))
 
 
 class CrossParser:
-    """Automata of all languages in one table, and the alphabet they share."""
+    """Automata of all languages in one table, and the alphabet they share.
+
+    Each letter of the samples, in lower case, is a symbol. Symbol 0 is any run of other characters; letters that no sample
+    has share the last one.
+    """
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        self.classes = class_table()
-        letters = Counter(c for k in self.languages for c in samples[k].lower() if c.isalpha())
-        self.own = {ord(c): 1 + k for k, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:OWN])}
-        self.table = np.zeros(0x10000, np.uint8)
-        code = np.arange(0x10000)
-        is_letter = self.classes == LETTER
-        self.table[is_letter] = 1 + OWN + code[is_letter] % SHARED
-        for c in np.flatnonzero(is_letter).tolist():
-            low = chr(c).lower()
-            self.table[c] = self.own.get(ord(low[0]), 1 + OWN + ord(low[0]) % SHARED)
-        parts, starts, self.bits = [], [], []
-        base = 0
+        letters = Counter(low[0] for k in self.languages for low in map(str.lower, samples[k]) if low[0].isalpha())
+        self.own = {ord(c): 1 + k for k, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0])))}
+        self.n_symbols = 2 + len(self.own)
+        self.table = np.zeros(0x10000, np.uint16 if self.n_symbols <= 0x10000 else np.int32)
+        for c in np.flatnonzero(class_table() == LETTER).tolist():
+            self.table[c] = self.letter(c)
+        edges, roots, self.bits = [], [], []
         for k in self.languages:
             raw = samples[k].encode()
             symbols = self.symbols(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
-            step = automaton(symbols.tolist())
-            between = base + len(step)  # no phrase is open: at the start, and after a symbol the sample lacks
-            first = np.where(step[0] >= 0, step[0] + base, between)  # a phrase that starts with this symbol
-            parts.append(np.where(step >= 0, step + base, -1 - first[None, :]))
-            parts.append(-1 - first[None, :])
-            starts.append(between)
+            base = len(edges)
+            roots.append(base)
+            edges += [{c: base + to for c, to in state.items()} for state in suffix_edges(symbols.tolist())]
             self.bits.append(np.log2(max(2, len(symbols))))
-            base += len(step) + 1
-        self.step = np.concatenate(parts).astype(np.int32).ravel()
-        self.starts = np.array(starts, np.int32)
+        self.step = Transitions(edges, self.n_symbols)
+        # a phrase that starts with a symbol; no phrase is open (state ``none``) after one that the sample lacks
+        self.first = np.full((len(roots), self.n_symbols), self.step.none, np.int32)
+        for row, root in enumerate(roots):
+            self.first[row, list(edges[root])] = self.step.name[list(edges[root].values())]
+
+    def letter(self, code: int) -> int:
+        return self.own.get(ord(chr(code).lower()[0]), self.n_symbols - 1)
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of all rows, the number of symbols per row, and whether a row has a letter."""
         codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         rows = np.searchsorted(np.flatnonzero((data & 0xC0) != 0x80), offsets)
         out = self.table[np.minimum(codes, 0xFFFF)]
-        for k in np.flatnonzero(codes > 0xFFFF).tolist():
-            c = int(codes[k])
-            out[k] = 1 + OWN + c % SHARED if char_class(c) == LETTER else 0
+        high = np.flatnonzero(codes > 0xFFFF)
+        if len(high):
+            distinct, which = np.unique(codes[high], return_inverse=True)
+            out[high] = np.array([self.letter(c) if char_class(c) == LETTER else 0 for c in distinct.tolist()], out.dtype)[which]
         letters = np.append(0, np.cumsum(out > 0))
         keep = np.append(True, (out[1:] > 0) | (out[:-1] > 0)) if len(out) else np.zeros(0, bool)
         keep[rows[:-1][rows[:-1] < len(out)]] = True
@@ -121,15 +168,15 @@ class CrossParser:
         size = np.minimum(counts[row] - nth * SEGMENT, SEGMENT)
         order = np.argsort(-size, kind="stable")
         begin, size, row = begin[order], size[order], row[order]
-        state = np.repeat(self.starts[:, None], len(row), axis=1)
+        state = np.full((len(self.languages), len(row)), self.step.none, np.int32)
         phrases = np.zeros(state.shape, np.int32)
         active = np.searchsorted(-size, -np.arange(SEGMENT), "left")  # segments longer than t
         for t in range(int(size[0]) if len(size) else 0):
             n = int(active[t])
-            to = self.step[state[:, :n] * SYMBOLS + symbols[begin[:n] + t]]
-            miss = to >> 31  # -1 where a new phrase begins with this symbol
-            state[:, :n] = to ^ miss
-            phrases[:, :n] -= miss
+            symbol = symbols[begin[:n] + t]
+            to, miss = self.step.follow(state[:, :n], symbol)
+            state[:, :n] = np.where(miss, self.first.take(symbol, axis=1), to)  # a new phrase begins with this symbol
+            phrases[:, :n] += miss
         total = np.stack([np.bincount(row, p, len(counts)) for p in phrases])
         return total * np.array(self.bits)[:, None]
 
@@ -143,9 +190,16 @@ class CrossParser:
         return [self.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), letters.tolist(), strict=True)], score
 
 
+@lru_cache(maxsize=1)
+def parser_of(learned: tuple[tuple[str, str], ...]) -> CrossParser:
+    """The parser of (language, sample) pairs, built once in a worker that runs several tasks."""
+    return CrossParser(dict(learned))
+
+
 def samples(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, str]:
     """``SAMPLE_CHARS`` characters of text per language, or all it has, from rows that are not held out.
 
+    Only the ``LANGUAGES`` languages with the most text are learned, so that what the driver holds is bounded.
     Equal texts count once. They are taken by a hash of the text until their characters suffice, each as a slice at
     a hashed offset; where a language has too few texts for that, the slices grow.
     """
@@ -154,7 +208,9 @@ def samples(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[st
     place = (F.pmod(F.xxhash64("text"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40))
     known = known.select("lang", F.xxhash64("text").alias("hash"), F.floor(-F.log2(place) * PLACE_BINS).alias("bin"), F.length("text").alias("size"), "text")
     texts = known.groupBy("lang", "hash", "bin").agg(F.max("size").alias("size"))
-    counted = texts.groupBy("lang", "bin").agg(F.sum(F.least("size", F.lit(SAMPLE_DOC_CHARS))).alias("chars")).collect()  # at most 40 * PLACE_BINS rows a language
+    counted = texts.groupBy("lang", "bin").agg(F.sum(F.least("size", F.lit(SAMPLE_DOC_CHARS))).alias("chars"))
+    most = counted.groupBy("lang").agg(F.sum("chars").alias("all")).orderBy(F.desc("all"), "lang").limit(LANGUAGES).select("lang")
+    counted = counted.join(F.broadcast(most), "lang").collect()  # at most 40 * PLACE_BINS rows a language
     limits, chars = {}, Counter()
     for r in sorted(counted, key=lambda r: (r["lang"], -r["bin"])):
         if chars[r["lang"]] < SAMPLE_CHARS:
@@ -188,14 +244,12 @@ def languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     learned. Null ids are kept, repeated rows predicted each, an empty table gives no rows. Other columns are not
     read and may have any name.
     """
-    learned = samples(df, id_col, text_col, lang_col)
+    learned = tuple(sorted(samples(df, id_col, text_col, lang_col).items()))
     schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def task(batches):
-        parser = None
+        parser = parser_of(learned) if learned else None
         for batch in batches:
-            if learned:
-                parser = parser or CrossParser(learned)
             data, offsets = text_buffer(batch.column(1))
             names, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             for i, j in blocks(offsets, BLOCK_BYTES) if parser else ():

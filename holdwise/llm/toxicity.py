@@ -24,6 +24,8 @@ BITS, DIM, FILTERS, WIDTHS = 16, 12, 8, (1, 2, 3)
 #: The training sample of the filters: at most so many rows of each label, and only texts of at most so many bytes.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2000, 4000, 24_000
 EPOCHS, BATCH, RATE = 6, 64, 0.08
+#: Languages that may have a threshold of their own: the most frequent of the sample.
+LANGUAGES = 32
 #: Rejected from this score on.
 THRESHOLD = 0.7
 #: Logits are counted in so many bins per unit, up to this size.
@@ -198,7 +200,8 @@ def train(sample: pd.DataFrame) -> ToxicModel | None:
         return None
     data, offsets = text_buffer(pa.array(sample["text"], pa.large_string()))
     ids, counts = WordHash(BITS).all_ids(data, offsets)
-    lang, _ = pd.factorize(sample["lang"])
+    often = sample["lang"].value_counts().sort_index().sort_values(ascending=False, kind="stable").index[:LANGUAGES]
+    lang, _ = pd.factorize(sample["lang"].where(sample["lang"].isin(often)))
     trainer = Trainer()
     trainer.fit(ids, counts, y)
     model = trainer.model()

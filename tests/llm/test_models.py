@@ -84,6 +84,60 @@ def test_toxicity_cut_follows_the_share(spark):
     assert cut(5) < 1 < cut(5000)
 
 
+def brute_logit(model, text):
+    """Largest value of each filter over all of a text's places, weighed; and the language whose words it has most."""
+    from holdwise.llm.features import WordHash
+    from holdwise.llm.toxicity import BITS, FILTERS, WIDTHS
+
+    hashing = WordHash(BITS)
+    found = [hashing.ids(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0] for w in re.findall(rb"[A-Za-z0-9\x80-\xff]+", (text or "").encode())]
+    total, column = model.offset, 0
+    for f in range(len(WIDTHS) * FILTERS):
+        width = WIDTHS[f // FILTERS]
+        column = FILTERS * sum(WIDTHS[: f // FILTERS]) + f % FILTERS
+        best = 0.0
+        for at in range(len(found)):
+            value = float(model.bias[f])
+            for j in range(width):
+                if at + j < len(found):
+                    value += sum(float(model.table[row, column + j * FILTERS]) for row in found[at + j])
+            best = max(best, value)
+        total += best * float(model.weight[f])
+    spoken = sum((model.language[row[0]].astype(float) for row in found), np.zeros(model.language.shape[1]))
+    return total, int(spoken.argmax())
+
+
+def test_toxicity_scores_equal_brute_force(toxic_tables, odd_rows, monkeypatch):
+    from holdwise.llm import toxicity as module
+    from holdwise.llm.common import text_buffer
+    from holdwise.llm.features import WordHash
+    import pyarrow as pa
+
+    docs, labels, _ = toxic_tables
+    model = module.learned(docs, labels, "doc_id", "text", "lang", "toxic")
+    texts = {r.doc_id: r.text for r in docs.where("doc_id < 60 or doc_id > 10000").collect() if len(r.text or "") < 5000}
+    want = {k: brute_logit(model, t) for k, t in texts.items()}
+    for chunk in (7, 50_000):  # filters reach over the ends of chunks
+        monkeypatch.setattr(module, "CHUNK_WORDS", chunk)
+        logit, language = model.logits(*WordHash(module.BITS).ids(*text_buffer(pa.array(list(texts.values()), pa.string()))))
+        assert np.allclose(logit, [v for v, _ in want.values()], atol=1e-3)
+        assert language.tolist() == [k for _, k in want.values()]
+    monkeypatch.undo()
+    got = {r.doc_id: r for r in toxicity(docs, labels).where("doc_id < 60 or doc_id > 10000").collect() if r.doc_id in texts}
+    for k, (logit, language) in want.items():
+        z = model.slope * (logit - model.cut[language]) + np.log(0.7 / 0.3)
+        assert abs(got[k].score - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 2e-3
+
+
+def test_rare_languages_share_a_cut():
+    import pandas as pd
+    from holdwise.llm import toxicity as module
+
+    rows = [(k, prose(8, k) + (" vexing" if k % 2 else ""), f"l{k % 50}" if k < 200 else "en", k % 2) for k in range(400)]
+    model = module.train(pd.DataFrame(rows, columns=["id", "text", "lang", "toxic"]))
+    assert len(model.cut) == model.language.shape[1] == module.LANGUAGES
+
+
 def test_quality_on_held_out_rows(spark, docs_of, odd_rows):
     rows = [(k, (prose(40, k) if k % 4 else " | ".join(prose(30, k).split())), "en") for k in range(600)]
     labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(400)], "doc_id long, quality int")
@@ -161,6 +215,46 @@ def test_language_samples_are_filled_in_spite_of_copies(docs_of):
     assert got["de"].count(rows[0][1][:200]) <= 1 and got["de"].count("the same opening") < 900
 
 
+def test_letters_of_several_scripts_are_told_apart(docs_of):
+    """Languages of one script with thousands of letters, and of one beyond the basic plane."""
+
+    def writing(seed, first, last):
+        rnd = random.Random(seed)
+        stems = ["".join(chr(rnd.randint(first, last)) for _ in range(rnd.randint(1, 3))) for _ in range(2000)]
+        return lambda n: "".join(rnd.choice(stems) + rnd.choice(["", "", ". "]) for _ in range(n))
+
+    write = {"a": writing(1, 0x4E00, 0x5A00), "b": writing(2, 0x4E00, 0x5A00), "c": writing(3, 0x3B1, 0x3C9), "d": writing(4, 0x10330, 0x1034A)}
+    rows = [(k, write["abcd"[k % 4]](60 if k < 2400 else 12), "abcd"[k % 4]) for k in range(2800)]
+    out = languages(docs_of(rows + [(9000, "\u05d0\u05d1", None)])).collect()
+    assert np.mean([r.lang_pred == "abcd"[r.doc_id % 4] for r in out if r.held_out and r.doc_id < 2800]) > 0.98
+    assert {r.lang_pred for r in out} == set("abcd")  # letters that no sample has are predicted too
+
+
+def test_phrases_equal_brute_force_with_many_letters():
+    import pyarrow as pa
+
+    from holdwise.llm.common import text_buffer
+
+    rnd = random.Random(6)
+    write = lambda n: "".join(chr(rnd.choice([0x4E00 + rnd.randrange(400), 0x10330 + rnd.randrange(16), 0x20])) for _ in range(n))
+    clean = lambda t: " ".join(t.split(" ")) if "  " not in t else re.sub(" +", " ", t)
+    sample = clean(write(3000))
+    parser = CrossParser({"a": sample, "b": clean(write(3000))})
+    texts = [clean(write(300)) for _ in range(20)] + ["\u05d0" + sample[100:160] + "\u05d0\u05d1"]
+    symbols, counts, _ = parser.symbols(*text_buffer(pa.array(texts)))
+    got = (parser.parse(symbols, counts)[0] / parser.bits[0]).round().astype(int).tolist()
+    assert got == [brute_phrases(t, sample) for t in texts]
+
+
+def test_only_the_languages_with_most_text_are_learned(docs_of, monkeypatch):
+    from holdwise.llm import language as module
+
+    monkeypatch.setattr(module, "LANGUAGES", 2)
+    rows = [(k, prose(20, k), f"l{k % 7}" if k % 7 < 2 else "rare") for k in range(140)] + [(500 + k, "one word", f"x{k}") for k in range(40)]
+    assert set(module.samples(docs_of(rows), "doc_id", "text", "lang")) <= {"l0", "l1", "rare"}
+    assert len(module.samples(docs_of(rows), "doc_id", "text", "lang")) == 2
+
+
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
