@@ -332,7 +332,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     low = classes.select("node", "id").join(labels, "node")
     low = low.join(low.groupBy("label").agg(F.min("id").alias("low")), "label").select("node", "low", "label")
     named = classes.select("node", "id").join(low, "node", "left").select("node", F.coalesce("low", "id").alias("component"), F.coalesce("label", "node").alias("component_key"))
-    out = docs.select("id", "text_hash", "n", "node").join(named, "node", "left")
+    out = looked_up(docs.select("id", "text_hash", "n", "node"), named, "node")  # copies of one text, and texts without words, are many rows of one node
     component = F.coalesce("component", "id")
     kept = F.coalesce(F.col("id") == component, component.isNull())
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), "component_key", "text_hash")
