@@ -31,6 +31,8 @@ THRESHOLD = 0.7
 #: Logits are counted in so many bins per unit, up to this size.
 LOGIT_BINS, LOGIT_LIMIT = 64, 60
 BLOCK_BYTES, CHUNK_WORDS = 1_000_000, 50_000
+#: Bytes of the sample that the driver hashes at once.
+FIT_BYTES = 100_000
 
 
 @dataclass
@@ -93,12 +95,16 @@ class Trainer:
 
     def start(self, ids: np.ndarray, counts: np.ndarray, y: np.ndarray) -> None:
         """Begin the first dimension with how surely a table row tells the labels apart, so that filters find such words."""
-        doc = np.repeat(np.arange(len(counts)), counts)
+        offsets = np.append(0, np.cumsum(counts))
         n, share = len(y), y.mean()
         for k in range(ids.shape[1]):
-            pair = np.unique(doc * np.int64(1 << BITS) + ids[:, k])
-            row, label = pair & ((1 << BITS) - 1), y[pair >> BITS]
-            all_docs, bad_docs = np.bincount(row, minlength=1 << BITS), np.bincount(row, label, minlength=1 << BITS)
+            all_docs, bad_docs = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS)
+            for i, j in blocks(offsets, CHUNK_WORDS):  # a document's words lie in one block
+                doc = np.repeat(np.arange(i, j), counts[i:j])
+                pair = np.unique(doc * np.int64(1 << BITS) + ids[offsets[i] : offsets[j], k])
+                row, label = pair & ((1 << BITS) - 1), y[pair >> BITS]
+                all_docs += np.bincount(row, minlength=1 << BITS)
+                bad_docs += np.bincount(row, label, minlength=1 << BITS)
             rate = (bad_docs + share) / (all_docs + 1)
             gain = bad_docs * np.log(rate / share) + (all_docs - bad_docs) * np.log((1 - rate) / (1 - share))
             strength = np.sqrt(2 * np.maximum(gain, 0)) * np.sign(rate - share)
@@ -169,7 +175,7 @@ class Trainer:
 
     def model(self) -> ToxicModel:
         p = self.p
-        table = np.concatenate([p["E"] @ p[f"W{w}"][j] for w in WIDTHS for j in range(w)], axis=1).astype(np.float32)
+        table = np.concatenate([(p["E"] @ p[f"W{w}"][j]).astype(np.float32) for w in WIDTHS for j in range(w)], axis=1)
         return ToxicModel(table, p["b"].astype(np.float32), p["u"].astype(np.float32), float(p["c"][0]), np.zeros((1 << BITS, 1), np.float32), np.zeros(1), 1.0)
 
 
@@ -199,7 +205,8 @@ def train(sample: pd.DataFrame) -> ToxicModel | None:
     if len(set(y)) < 2:
         return None
     data, offsets = text_buffer(pa.array(sample["text"], pa.large_string()))
-    ids, counts = WordHash(BITS).all_ids(data, offsets)
+    ids, counts = WordHash(BITS).all_ids(data, offsets, FIT_BYTES)
+    del data
     often = sample["lang"].value_counts().sort_index().sort_values(ascending=False, kind="stable").index[:LANGUAGES]
     lang, _ = pd.factorize(sample["lang"].where(sample["lang"].isin(often)))
     trainer = Trainer()
